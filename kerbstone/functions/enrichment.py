@@ -26,12 +26,15 @@ def speed_excess(speed: Column, limit: Column) -> Column:
 
 
 def safety_score(flags: dict[str, Column]) -> Column:
-    """Start value less the penalty of every raised flag; an unknown flag costs nothing."""
+    """Start value less the penalty of every raised flag; an unknown flag costs nothing.
+
+    Start and penalties are whole numbers, so the score needs no rounding.
+    """
     penalties = (
         F.when(flags[name], F.lit(penalty)).otherwise(F.lit(0.0))
         for name, penalty in rules.SAFETY_PENALTIES.items()
     )
-    return F.round(reduce(lambda score, p: score - p, penalties, F.lit(rules.SAFETY_START)), 1)
+    return reduce(lambda score, penalty: score - penalty, penalties, F.lit(rules.SAFETY_START))
 
 
 def weather_severity(weather: Column) -> Column:

@@ -1,9 +1,9 @@
 """Dimensions: one row per key.
 
 A key does not determine all attributes (a road key covers many coordinates), so
-one source row must be picked per key. The pick is the earliest event, then the
-smallest event_id and attributes, NULLs first. Being a minimum, it does not depend
-on row order, partitioning or retries.
+one source row must be picked per key. The pick is the earliest event and, among
+events of the same instant, the smallest attributes in their order, NULLs first.
+Being a minimum, it does not depend on row order, partitioning or retries.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kerbstone import rules
 from kerbstone.functions import keys
 
-_PICK_ORDER = ("event_time_ts", "event_id")
+_EARLIEST = "event_time_ts"
 
 
 def build_dimension(silver: DataFrame, name: str) -> DataFrame:
@@ -24,10 +24,10 @@ def build_dimension(silver: DataFrame, name: str) -> DataFrame:
     all rows (such as the NULL incident key) costs the exchange no more than others.
     """
     dimension = rules.DIMENSIONS[name]
-    rest = [a for a in dimension.attributes if a not in _PICK_ORDER]
+    rest = [a for a in dimension.attributes if a != _EARLIEST]
     picked = (
         silver.groupBy(keys.key_text(dimension.key).alias("key_text"))
-        .agg(F.min(F.struct(*_PICK_ORDER, *rest)).alias("row"))
+        .agg(F.min(F.struct(_EARLIEST, *rest)).alias("row"))
     )
     return picked.select(
         keys.digest(dimension.key, F.col("key_text")).alias(dimension.key),

@@ -15,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kerbstone import rules
 from kerbstone.operators.new_keys import only_new_keys
-from kerbstone.operators.routing import is_faulty
-from kerbstone.plans.layers import dimensions, facts, refine
+from kerbstone.operators.routing import is_faulty, quarantine_rows, valid_rows
+from kerbstone.operators.silver import to_silver
+from kerbstone.plans.layers import dimensions, facts
+from kerbstone.session import jit_sized_methods
 from kerbstone.sinks.lakehouse import BatchId, Lakehouse
 from kerbstone.streaming.triggers import EVERY_30_SECONDS
 
@@ -65,14 +67,15 @@ class SilverGoldJob:
         counted = bronze.observe(
             counts, F.count("*").alias("rows"), F.count_if(is_faulty()).alias("quarantined")
         )
-        silver = refine(counted).silver
+        silver = to_silver(valid_rows(counted))
         with self._stored(silver, batch) as stored:
             rows, quarantined = counts.get["rows"], counts.get["quarantined"]
             if quarantined:
-                quarantine = refine(bronze).quarantine
-                self.tables.write_batch(quarantine, self.tables.quarantine, batch, evolve=True)
+                self.tables.write_batch(
+                    quarantine_rows(bronze), self.tables.quarantine, batch, evolve=True
+                )
             log.info("batch %s: gold", batch.number)
-            self._write_gold(stored, batch)
+            self.write_gold(stored, batch)
         log.info("batch %s: done, %s rows, %s quarantined", batch.number, rows, quarantined)
 
     @contextmanager
@@ -86,16 +89,18 @@ class SilverGoldJob:
         tables = self.tables
         if tables.is_delta:
             silver = silver.persist()
+        with jit_sized_methods(silver.sparkSession):
+            tables.write_batch(silver, tables.silver, batch, evolve=True)
+        if tables.is_delta:
             try:
-                tables.write_batch(silver, tables.silver, batch, evolve=True)
                 yield silver
             finally:
                 silver.unpersist()
         else:
-            tables.write_batch(silver, tables.silver, batch, evolve=True)
             yield tables.read_batch(self.spark, tables.silver, batch, silver.schema)
 
-    def _write_gold(self, silver: DataFrame, batch: BatchId) -> None:
+    def write_gold(self, silver: DataFrame, batch: BatchId) -> None:
+        """Write all gold tables from a stored silver batch."""
         # Dimensions may gain columns over time; facts have a fixed schema.
         writes = [(name, rows, True) for name, rows in dimensions(silver).items()]
         writes += [(name, rows, False) for name, rows in facts(silver).items()]
@@ -109,7 +114,8 @@ class SilverGoldJob:
             self.tables.write_batch(rows, path, batch, evolve)
 
         with ThreadPoolExecutor(self.parallel_writes) as pool:
-            # Keeps the streaming query's job group, so stopping it cancels these jobs too.
-            jobs = [pool.submit(inheritable_thread_target(write), *w) for w in writes]
+            # Each write gets its own copy of the streaming query's job properties, so
+            # stopping the query cancels these jobs too.
+            jobs = [pool.submit(inheritable_thread_target(self.spark)(write), *w) for w in writes]
             for job in jobs:
                 job.result()
