@@ -1,7 +1,7 @@
-"""Text to typed values; text that does not fit becomes NULL in every ANSI mode.
+"""Text columns to typed ones; text that does not fit becomes NULL in every ANSI mode.
 
 With ANSI mode on (the default since Spark 4) a plain cast fails the job on the
-first dirty row, so every conversion here uses the ``try_`` form.
+first dirty row, so every conversion here uses a ``try_`` form.
 """
 
 from __future__ import annotations
@@ -15,25 +15,29 @@ _FRACTION_ONLY = rf"^{_PAD}[+-]?[.][0-9]*{_PAD}$"
 _WITH_FRACTION = rf"^{_PAD}([+-]?[0-9]+)[.][0-9]*{_PAD}$"
 
 
-def to_timestamp(text: Column) -> Column:
-    return F.try_to_timestamp(text)
+def to_timestamp(name: str) -> Column:
+    return F.expr(f"try_to_timestamp({name})")
 
 
-def to_double(text: Column) -> Column:
-    return text.try_cast("double")
+def to_double(name: str) -> Column:
+    return F.expr(f"try_cast({name} as double)")
 
 
-def to_boolean(value: Column) -> Column:
-    return value.try_cast("boolean")
+def to_boolean(name: str) -> Column:
+    return F.expr(f"try_cast({name} as boolean)")
 
 
-def to_int(text: Column) -> Column:
+def to_int(name: str) -> Column:
     """Cast that cuts off a decimal fraction: ``'12.5'`` is 12 and ``'.5'`` is 0.
 
     ``try_cast`` alone gives NULL for both. Whole numbers, by far the most common
     case, never reach the regular expressions.
     """
-    whole = text.try_cast("int")
-    cut = F.regexp_replace(text, _WITH_FRACTION, "$1").try_cast("int")
-    truncated = F.when(text.rlike(_FRACTION_ONLY), F.lit(0)).otherwise(cut)
-    return F.coalesce(whole, F.when(F.contains(text, F.lit(".")), truncated))
+    return F.expr(
+        f"""coalesce(
+            try_cast({name} as int),
+            case when not contains({name}, '.') then null
+                 when {name} rlike r'{_FRACTION_ONLY}' then 0
+                 else try_cast(regexp_replace({name}, r'{_WITH_FRACTION}', '$1') as int)
+            end)"""
+    )

@@ -8,20 +8,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def standardise(text: Column) -> Column:
+def _literal(value: str | int | float) -> str:
+    return f"'{value}'" if isinstance(value, str) else f"{value}D" if isinstance(value, float) else str(value)
+
+
+def standardise(name: str) -> Column:
     """Upper case without surrounding blanks (blanks only: tabs stay)."""
-    return F.upper(F.trim(text))
+    return F.expr(f"upper(trim({name}))")
 
 
-def clip(value: Column, low: float, high: float) -> Column:
+def clip(name: str, low: float, high: float) -> Column:
     """Move values outside [low, high] to the nearest limit.
 
     NULL fails both comparisons and stays NULL. NaN sorts above every number in
     Spark, so it moves to ``high``. ``least``/``greatest`` would not do: they skip NULL.
     """
-    return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value)
+    low_sql, high_sql = _literal(low), _literal(high)
+    return F.expr(
+        f"case when {name} < {low_sql} then {low_sql} "
+        f"when {name} > {high_sql} then {high_sql} else {name} end"
+    )
 
 
-def keep_allowed(value: Column, allowed: Sequence) -> Column:
+def keep_allowed(name: str, allowed: Sequence) -> Column:
     """The value if it is a member of ``allowed``, else NULL."""
-    return F.when(value.isin(*allowed), value)
+    return F.expr(f"if({name} in ({', '.join(map(_literal, allowed))}), {name}, null)")

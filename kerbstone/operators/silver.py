@@ -19,11 +19,11 @@ def typed(valid: DataFrame) -> DataFrame:
     """Stage 1: casts (NULL on failure) and standard text."""
     return valid.withColumns(
         {
-            **{new: casts.to_timestamp(F.col(c)) for new, c in rules.TIMESTAMPS.items()},
-            **{c: casts.to_double(F.col(c)) for c in rules.DOUBLES},
-            **{c: casts.to_int(F.col(c)) for c in rules.INTEGERS},
-            **{c: casts.to_boolean(F.col(c)) for c in rules.BOOLEANS},
-            **{c: cleaning.standardise(F.col(c)) for c in rules.STANDARD_TEXT},
+            **{new: casts.to_timestamp(c) for new, c in rules.TIMESTAMPS.items()},
+            **{c: casts.to_double(c) for c in rules.DOUBLES},
+            **{c: casts.to_int(c) for c in rules.INTEGERS},
+            **{c: casts.to_boolean(c) for c in rules.BOOLEANS},
+            **{c: cleaning.standardise(c) for c in rules.STANDARD_TEXT},
         }
     )
 
@@ -32,8 +32,8 @@ def validated(typed_rows: DataFrame) -> DataFrame:
     """Stage 2: limits and allowed values."""
     return typed_rows.withColumns(
         {
-            **{c: cleaning.clip(F.col(c), lo, hi) for c, (lo, hi) in rules.LIMITS.items()},
-            **{c: cleaning.keep_allowed(F.col(c), v) for c, v in rules.ALLOWED.items()},
+            **{c: cleaning.clip(c, lo, hi) for c, (lo, hi) in rules.LIMITS.items()},
+            **{c: cleaning.keep_allowed(c, v) for c, v in rules.ALLOWED.items()},
         }
     )
 

@@ -51,7 +51,3 @@ def jit_sized_methods(spark: SparkSession) -> Iterator[None]:
 
 def use_jit_sized_methods(spark: SparkSession) -> None:
     spark.conf.set(_METHOD_LIMIT_SETTING, JIT_METHOD_LIMIT)
-
-
-def use_default_methods(spark: SparkSession) -> None:
-    spark.conf.unset(_METHOD_LIMIT_SETTING)

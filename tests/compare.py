@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 
 import duckdb
@@ -46,3 +48,15 @@ def difference(spark_df, relation) -> str | None:
         if _key(g) != _key(w):
             return "first differing row: " + str({n: (a, b) for n, a, b in zip(names, g, w) if str(a) != str(b)})
     return None
+
+
+def plan_text(df) -> str:
+    """The physical plan as ``explain("formatted")`` prints it."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def sorted_rows(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=_key)
