@@ -17,12 +17,13 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    warehouse = tmp_path_factory.mktemp("warehouse")
+    shared = tmp_path_factory.mktemp("shared")
     spark = (
         session.builder("kerbstone-tests")
         .master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.warehouse.dir", str(warehouse))
+        .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
+        .config("spark.checkpoint.dir", f"{shared}/checkpoints")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

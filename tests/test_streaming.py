@@ -1,0 +1,174 @@
+import logging
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from compare import sorted_rows
+from kerbstone import rules
+from kerbstone.operators.bronze import to_bronze
+from kerbstone.plans.layers import gold, refine
+from kerbstone.sinks.lakehouse import BatchId, Lakehouse
+from kerbstone.sources import streams
+from kerbstone.streaming.bronze_job import start_bronze
+from kerbstone.streaming.silver_gold_job import SilverGoldJob
+from kerbstone.streaming.triggers import BACKLOG_THEN_STOP
+
+
+def _run(query):
+    query.awaitTermination()
+    return [p for p in query.recentProgress if p.numInputRows]
+
+
+@pytest.fixture(scope="module")
+def landing(messages, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("landing") / "t")
+    messages.repartition(4).write.parquet(path)
+    return path
+
+
+@pytest.fixture(scope="module")
+def lake(spark, landing, tmp_path_factory):
+    """A bronze table streamed in two batches, and silver and gold in two more."""
+    tables = Lakehouse(str(tmp_path_factory.mktemp("lake")))
+    batches = _run(start_bronze(streams.file_messages(spark, landing, maxFilesPerTrigger="2"), tables, BACKLOG_THEN_STOP))
+    assert len(batches) == 2
+    batches = _run(_silver_gold(spark, tables))
+    assert len(batches) == 2
+    return tables
+
+
+def _silver_gold(spark, tables, source=None, **settings):
+    files = spark.read.parquet((source or tables).bronze).inputFiles()
+    bronze = streams.bronze_rows(spark, (source or tables).bronze, maxFilesPerTrigger=str(-(-len(files) // 2)))
+    return SilverGoldJob(spark, tables, **settings).start(bronze, BACKLOG_THEN_STOP)
+
+
+def _stable(df):
+    return df.drop("silver_processed_at", "quarantined_at")
+
+
+def _contents(spark, tables):
+    """Row counts of all tables."""
+    paths = {n: tables.gold(n) for n in (*rules.DIMENSIONS, *rules.FACTS)}
+    paths |= {"silver": tables.silver, "quarantine": tables.quarantine}
+    return {n: tables.read(spark, p).count() for n, p in paths.items()}
+
+
+def test_stream_equals_batch_on_the_union(spark, messages, lake):
+    bronze = to_bronze(messages)
+    assert sorted_rows(spark.read.parquet(lake.bronze)) == sorted_rows(bronze)
+    silver, quarantine = refine(bronze)
+    assert sorted_rows(_stable(lake.read(spark, lake.silver))) == sorted_rows(_stable(silver))
+    assert sorted_rows(_stable(lake.read(spark, lake.quarantine))) == sorted_rows(_stable(quarantine))
+    for name, expected in gold(silver).items():
+        stored = lake.read(spark, lake.gold(name))
+        assert stored.columns == expected.columns
+        if name in rules.FACTS:
+            assert sorted_rows(stored) == sorted_rows(expected), name
+        else:
+            key = rules.DIMENSIONS[name].key
+            assert sorted_rows(stored.select(key).distinct()) == sorted_rows(expected.select(key)), name
+
+
+def test_dimensions_repeat_keys_across_batches_by_default(spark, lake):
+    stored = lake.read(spark, lake.gold("dim_payment"))
+    assert stored.count() == 2 * stored.distinct().count()
+
+
+def test_restart_adds_nothing(spark, landing, lake):
+    before = _contents(spark, lake)
+    bronze_before = spark.read.parquet(lake.bronze).count()
+    assert not _run(start_bronze(streams.file_messages(spark, landing), lake, BACKLOG_THEN_STOP))
+    assert not _run(_silver_gold(spark, lake))
+    assert spark.read.parquet(lake.bronze).count() == bronze_before
+    assert _contents(spark, lake) == before
+
+
+def test_a_second_stream_does_not_overwrite_the_first(spark, lake, tmp_path):
+    """A new checkpoint counts batches from 0 again: its rows are added, as by any append."""
+    tables = Lakehouse(str(tmp_path))
+    _run(_silver_gold(spark, tables, source=lake))
+    once = _contents(spark, tables)
+    again = SilverGoldJob(spark, Lakehouse(str(tmp_path)))
+    bronze = streams.bronze_rows(spark, lake.bronze)
+    query = (
+        bronze.writeStream.foreachBatch(again._on_batch)
+        .option("checkpointLocation", str(tmp_path / "chk/other")).trigger(availableNow=True).start()
+    )
+    _run(query)
+    twice = _contents(spark, tables)
+    assert twice["fact_traffic_event"] == 2 * once["fact_traffic_event"]
+    assert twice["quarantine"] == 2 * once["quarantine"]
+
+
+class _Failing(Lakehouse):
+    """Fails in the second batch, after some of its tables are written."""
+
+    def write_batch(self, rows, path, batch, evolve=False):
+        if batch.number == 1 and path.endswith("fact_incident"):
+            raise OSError("disk gone")
+        super().write_batch(rows, path, batch, evolve)
+
+
+@pytest.mark.parametrize("only_new", [False, True])
+def test_a_failed_batch_is_replayed_without_duplicates(spark, lake, tmp_path, only_new):
+    base = str(tmp_path)
+    with pytest.raises(StreamingQueryException):
+        _silver_gold(spark, _Failing(base), source=lake, only_new_dimension_rows=only_new).awaitTermination()
+    assert Lakehouse(base).read(spark, f"{base}/traffic_gold/fact_traffic_event").count() > 0
+    assert len(_run(_silver_gold(spark, Lakehouse(base), source=lake, only_new_dimension_rows=only_new))) == 1
+    found, expected = _contents(spark, Lakehouse(base)), _contents(spark, lake)
+    if only_new:
+        for name, dimension in rules.DIMENSIONS.items():
+            stored = lake.read(spark, f"{base}/traffic_gold/{name}")
+            assert found[name] == stored.select(dimension.key).distinct().count() < expected[name] or name in (
+                "dim_time", "dim_incidentdet")
+            expected[name] = found[name]
+    assert found == expected
+
+
+def test_empty_batch_writes_nothing(spark, make_bronze, tmp_path, caplog):
+    tables = Lakehouse(str(tmp_path / "lake"))
+    with caplog.at_level(logging.INFO):
+        SilverGoldJob(spark, tables).process(make_bronze({}).filter(F.lit(False)), BatchId("s", 0))
+    assert "empty, skipped" in caplog.text and not (tmp_path / "lake").exists()
+
+
+def test_quarantine_is_written_only_if_it_has_rows(spark, make_bronze, tmp_path, caplog):
+    tables = Lakehouse(str(tmp_path))
+    job = SilverGoldJob(spark, tables)
+    job.process(make_bronze({}), BatchId("s", 0))
+    assert not (tmp_path / "traffic_quarantine").exists()
+    with caplog.at_level(logging.INFO):
+        job.process(make_bronze({}, {"sensor_id": None}), BatchId("s", 1))
+    assert "2 rows, 1 quarantined" in caplog.text
+    assert tables.read(spark, tables.quarantine).count() == 1
+    assert tables.read(spark, tables.silver).count() == 2
+
+
+def test_settings_are_restored_after_a_batch(spark, make_bronze, tmp_path):
+    setting = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(setting)
+    SilverGoldJob(spark, Lakehouse(str(tmp_path))).process(make_bronze({}), BatchId("s", 0))
+    assert spark.conf.get(setting) == before
+
+
+def test_tables_take_new_columns(spark, tmp_path):
+    tables = Lakehouse(str(tmp_path))
+    old = spark.createDataFrame([(1,)], "a int")
+    new = spark.createDataFrame([(2, "x")], "a int, b string")
+    tables.write_batch(old, tables.silver, BatchId("s", 0), evolve=True)
+    tables.write_batch(new, tables.silver, BatchId("s", 1), evolve=True)
+    assert sorted_rows(tables.read(spark, tables.silver, evolved=True)) == [(1, None), (2, "x")]
+
+
+def test_reading_without_a_batch(spark, tmp_path):
+    tables = Lakehouse(str(tmp_path))
+    path = tables.gold("t")
+    assert tables.read_without(spark, path, BatchId("s", 0)) is None
+    rows = spark.createDataFrame([(1,)], "a int")
+    for batch in (BatchId("s", 0), BatchId("s", 1), BatchId("r", 1)):
+        tables.write_batch(rows, path, batch)
+    assert tables.read_without(spark, path, BatchId("s", 1)).count() == 2
+    assert tables.read(spark, path).columns == ["a"]
