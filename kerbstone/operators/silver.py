@@ -8,50 +8,55 @@ independent, so each stage is a single ``withColumns``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbstone import rules
 from kerbstone.functions import casts, cleaning, enrichment
 
 
+def typed_columns() -> dict[str, Column]:
+    """Casts (NULL on failure) and standard text."""
+    return {
+        **{new: casts.to_timestamp(c) for new, c in rules.TIMESTAMPS.items()},
+        **{c: casts.to_double(c) for c in rules.DOUBLES},
+        **{c: casts.to_int(c) for c in rules.INTEGERS},
+        **{c: casts.to_boolean(c) for c in rules.BOOLEANS},
+        **{c: cleaning.standardise(c) for c in rules.STANDARD_TEXT},
+    }
+
+
+def validated_columns() -> dict[str, Column]:
+    """Limits and allowed values."""
+    return {
+        **{c: cleaning.clip(c, low, high) for c, (low, high) in rules.LIMITS.items()},
+        **{c: cleaning.keep_allowed(c, allowed) for c, allowed in rules.ALLOWED.items()},
+    }
+
+
+def derived_columns() -> dict[str, Column]:
+    return {
+        "speed_band": enrichment.speed_band(F.col("speed_kmh")),
+        "speed_excess_kmh": enrichment.speed_excess(F.col("speed_kmh"), F.col("speed_limit")),
+        "safety_score_clean": enrichment.safety_score(
+            {name: F.col(name) for name in rules.SAFETY_PENALTIES}
+        ),
+        **enrichment.time_parts(F.col("event_time_ts")),
+        "weather_severity": enrichment.weather_severity(F.col("weather")),
+        "silver_processed_at": F.current_timestamp(),
+    }
+
+
 def typed(valid: DataFrame) -> DataFrame:
-    """Stage 1: casts (NULL on failure) and standard text."""
-    return valid.withColumns(
-        {
-            **{new: casts.to_timestamp(c) for new, c in rules.TIMESTAMPS.items()},
-            **{c: casts.to_double(c) for c in rules.DOUBLES},
-            **{c: casts.to_int(c) for c in rules.INTEGERS},
-            **{c: casts.to_boolean(c) for c in rules.BOOLEANS},
-            **{c: cleaning.standardise(c) for c in rules.STANDARD_TEXT},
-        }
-    )
+    return valid.withColumns(typed_columns())
 
 
 def validated(typed_rows: DataFrame) -> DataFrame:
-    """Stage 2: limits and allowed values."""
-    return typed_rows.withColumns(
-        {
-            **{c: cleaning.clip(c, lo, hi) for c, (lo, hi) in rules.LIMITS.items()},
-            **{c: cleaning.keep_allowed(c, v) for c, v in rules.ALLOWED.items()},
-        }
-    )
+    return typed_rows.withColumns(validated_columns())
 
 
 def enriched(validated_rows: DataFrame) -> DataFrame:
-    """Stage 3: derived columns."""
-    return validated_rows.withColumns(
-        {
-            "speed_band": enrichment.speed_band(F.col("speed_kmh")),
-            "speed_excess_kmh": enrichment.speed_excess(F.col("speed_kmh"), F.col("speed_limit")),
-            "safety_score_clean": enrichment.safety_score(
-                {name: F.col(name) for name in rules.SAFETY_PENALTIES}
-            ),
-            **enrichment.time_parts(F.col("event_time_ts")),
-            "weather_severity": enrichment.weather_severity(F.col("weather")),
-            "silver_processed_at": F.current_timestamp(),
-        }
-    )
+    return validated_rows.withColumns(derived_columns())
 
 
 def to_silver(valid: DataFrame) -> DataFrame:
