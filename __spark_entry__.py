@@ -246,9 +246,9 @@ def queries() -> dict[str, Query]:
         ),
         "silver_weather_severity": _select(_enriched, "event_id", "weather", "weather_severity"),
         "silver_full": lambda s, d: _silver(s, d).drop("silver_processed_at"),
-        "surrogate_keys": lambda s, d: _silver(s, d).select(
+        "surrogate_keys": lambda s, d: _silver(s, d).selectExpr(
             "event_id",
-            *(keys.key(k).alias(k) for k in (*rules.SURROGATE_KEYS, *rules.NATURAL_KEYS)),
+            *(f"{keys.key(k)} as {k}" for k in (*rules.SURROGATE_KEYS, *rules.NATURAL_KEYS)),
         ),
         **{name: _dimension(name) for name in rules.DIMENSIONS},
         **{name: _fact(name) for name in rules.FACTS},

@@ -23,13 +23,11 @@ def build_dimension(silver: DataFrame, name: str) -> DataFrame:
     Every task sends at most one row per key it saw, so a key that holds a third of
     all rows (such as the NULL incident key) costs the exchange no more than others.
     """
-    dimension = rules.DIMENSIONS[name]
-    rest = [a for a in dimension.attributes if a != _EARLIEST]
-    picked = (
-        silver.groupBy(keys.key_text(dimension.key).alias("key_text"))
-        .agg(F.min(F.struct(_EARLIEST, *rest)).alias("row"))
+    key, attributes = rules.DIMENSIONS[name].key, rules.DIMENSIONS[name].attributes
+    ranked = (_EARLIEST, *(a for a in attributes if a != _EARLIEST))
+    picked = silver.groupBy(F.expr(keys.key_text(key)).alias("key_text")).agg(
+        F.expr(f"min(struct({', '.join(ranked)}))").alias("row")
     )
-    return picked.select(
-        keys.digest(dimension.key, F.col("key_text")).alias(dimension.key),
-        *(F.col(f"row.{a}") for a in dimension.attributes),
+    return picked.selectExpr(
+        f"{keys.digest(key, 'key_text')} as {key}", *(f"row.{a}" for a in attributes)
     )

@@ -6,26 +6,23 @@ are map-only however large the dimensions grow.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from kerbstone import rules
 from kerbstone.functions import keys
 
-
-def _column(name: str) -> Column:
-    if name in rules.SURROGATE_KEYS or name in rules.NATURAL_KEYS:
-        return keys.key(name).alias(name)
-    if name in rules.FACT_FLAGS:
-        return F.col(name).cast("int").alias(name)
-    return F.col(name)
+# Facts about a part of the rows only; the others hold every silver row.
+_ROWS = {"fact_incident": f"incident_type is not null and incident_type <> '{rules.NO_INCIDENT}'"}
 
 
-def is_incident() -> Column:
-    kind = F.col("incident_type")
-    return kind.isNotNull() & (kind != rules.NO_INCIDENT)
+def _column(name: str) -> str:
+    if keys.is_key(name):
+        return f"{keys.key(name)} as {name}"
+    if name in rules.FACT_FLAGS:
+        return f"cast({name} as int) as {name}"
+    return name
 
 
 def build_fact(silver: DataFrame, name: str) -> DataFrame:
-    rows = silver.filter(is_incident()) if name == "fact_incident" else silver
-    return rows.select(*(_column(c) for c in rules.FACTS[name]))
+    rows = silver.filter(_ROWS[name]) if name in _ROWS else silver
+    return rows.selectExpr(*(_column(c) for c in rules.FACTS[name]))
