@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, host_rules, mix, path_join, token_cache, url_markov
+from . import bilinear_lm, decontaminate, host_rules, mix, path_join, previous_factor, token_cache, url_markov
 from .common import documents, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op2_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear_lm.score(documents(spark, sf_dir))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -50,6 +54,12 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_previous_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return previous_factor.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_cache.count_tokens(
         documents(spark, sf_dir),
@@ -60,10 +70,12 @@ def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_bilinear_lm": op2_bilinear_lm,
     "op3_host_rules": op3_host_rules,
     "op4_path_join": op4_path_join,
     "op6_url_markov": op6_url_markov,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix": op8_mix,
+    "op9_previous_factor": op9_previous_factor,
     "op10_token_cache": op10_token_cache,
 }
