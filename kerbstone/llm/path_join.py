@@ -257,7 +257,7 @@ def _open(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: a row for each row of ``docs``.
+    """doc_id, text_key, n_shingles, component_id, kept: a row for each row of ``docs``.
 
     Documents are linked if 100 * intersection >= ``percent`` * union of their shingle sets.
     """
@@ -321,12 +321,18 @@ def _labelled(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return (
         rows.join(labels, "class", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
+        .select("doc_id", "text_key", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
 
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the least of its component, with all columns."""
-    kept = near_duplicates(docs, percent).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """The rows of ``docs`` but those whose component has a lesser id, with all columns.
+
+    Rows without an id can't be told apart by it and stay.
+    """
+    later = near_duplicates(docs, percent).where("not kept and doc_id is not null")
+    gone = settle(later.select(F.col("doc_id").alias("_gone"), "text_key").distinct())
+    keyed = docs.withColumn("_key", F.unhex(F.md5(text_or_empty())))
+    same = (F.col("doc_id") == F.col("_gone")) & (F.col("_key") == F.col("text_key"))
+    return keyed.join(gone, same, "left_anti").drop("_key")

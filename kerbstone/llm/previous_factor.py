@@ -401,3 +401,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             f"doc_id {id_type}, row_key long, n_bytes long, n_removed long, n_spans long, kept binary",
         )
     )
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with what is left of their texts, and n_chars where they have it.
+
+    A character that loses one of its bytes goes. Rows of which no word is left go, too, if
+    something was removed from them.
+    """
+    rest = remove_repeats(docs).where("n_removed > 0").dropDuplicates(["doc_id", "row_key"])
+    rest = settle(rest.select("doc_id", "row_key", F.col("kept").alias("_kept")))
+    joined = join_rows(with_row_key(docs), rest).drop("row_key")
+    # Bytes that are no longer UTF-8 become a mark, and the mark goes.
+    clean = F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("\ufffd"), F.lit(""))
+    changed = F.col("_kept").isNotNull()
+    new = {"text": F.when(changed, clean).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("n_chars")
+        )
+    kept = joined.where(~changed | clean.rlike(r"[^\x20\x09-\x0D]"))
+    return kept.withColumns(new).select(*docs.columns)

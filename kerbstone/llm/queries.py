@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bilinear_lm, decontaminate, host_rules, mix, path_join, previous_factor, token_cache, url_markov
+from . import bilinear_lm, decontaminate, host_rules, language, mix, path_join, previous_factor, quality_vote, token_cache, url_markov
 from .common import documents, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op1_quality_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_vote.score(documents(spark, sf_dir), labels)
+
+
 def op2_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bilinear_lm.score(documents(spark, sf_dir))
 
@@ -28,7 +33,12 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return path_join.near_duplicates(documents(spark, sf_dir), percent=85)
+    return path_join.near_duplicates(documents(spark, sf_dir), percent=85).drop("text_key")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return language.identify(documents(spark, sf_dir), pages).drop("row_key")
 
 
 def op6_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,12 +80,84 @@ def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_vote": op1_quality_vote,
     "op2_bilinear_lm": op2_bilinear_lm,
     "op3_host_rules": op3_host_rules,
     "op4_path_join": op4_path_join,
+    "op5_language": op5_language,
     "op6_url_markov": op6_url_markov,
     "op7_decontaminate": op7_decontaminate,
     "op8_mix": op8_mix,
     "op9_previous_factor": op9_previous_factor,
     "op10_token_cache": op10_token_cache,
 }
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS source_key,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS order_key
+  FROM documents),
+totals AS (SELECT source_key, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY ALL),
+ranked AS (
+  SELECT *, (row_number() OVER (ORDER BY source_key) - 1) % 3 + 1 AS weight, source_size * 3 AS cap
+  FROM totals),
+levels AS (
+  SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) AS everything,
+         CAST(coalesce(sum(cap) OVER (rising ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS before,
+         CAST(sum(weight) OVER (rising ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS onward
+  FROM ranked WINDOW rising AS (ORDER BY cap / weight, source_key)),
+goals AS (
+  SELECT source_key, source_size,
+         CASE WHEN cap / weight <= (everything - before) / onward THEN CAST(cap AS DOUBLE)
+              ELSE weight * max((everything - before) / onward)
+                   FILTER (WHERE NOT cap / weight <= (everything - before) / onward) OVER () END AS target
+  FROM levels),
+placed AS (
+  SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0) AS epochs,
+         coalesce(sum(size) OVER (PARTITION BY source_key ORDER BY order_key, doc_id
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized JOIN goals USING (source_key))
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + least(size, greatest(0, floor(target) - epochs * source_size - before)) AS BIGINT) AS taken
+FROM placed
+"""
+
+DECONTAMINATE_SQL = (
+    r"""
+WITH items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all("""
+    + _LOWERED
+    + r""", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + 12], ' ') AS win, least(len(w), 13) AS n
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM items WHERE len(w) > 0)),
+docs AS (
+  SELECT doc_id, regexp_extract_all("""
+    + _LOWERED
+    + r""", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+runs AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i
+        FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT doc_id, i, runs.n, item_id FROM runs JOIN windows USING (win)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+)
+
+#: The other queries hold models or similarity joins; tests compare them with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontaminate": DECONTAMINATE_SQL,
+    "op8_mix": MIX_SQL,
+}
