@@ -7,6 +7,7 @@ the JSON text, and ``stream_*`` run the real jobs over files and read back the t
 
 from __future__ import annotations
 
+import importlib.util
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -30,7 +31,7 @@ from kerbstone.sources.event_feed import bronze_rows, sensor_messages
 from kerbstone.streaming.bronze_job import start_bronze
 from kerbstone.streaming.silver_gold_job import SilverGoldJob
 from kerbstone.streaming.triggers import BACKLOG_THEN_STOP
-from oracle_queries import oracle_sql  # noqa: F401  (third function of the contract)
+import oracle_queries
 
 FLAGSHIP_DATA = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,4 +263,19 @@ def queries() -> dict[str, Query]:
         "stream_fact_incident": _streamed(lambda t: t.gold("fact_incident")),
         "stream_dimensions": _dimension_keys,
     }
-    return {name: _comparable(q) for name, q in all_queries.items()}
+    return {name: _comparable(q) for name, q in all_queries.items()} | _training_data()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return oracle_queries.oracle_sql() | _training_data()[1]
+
+
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators; none where that subpackage is left out."""
+    if not importlib.util.find_spec("kerbstone.llm") or not importlib.util.find_spec("corpus_pipeline"):
+        return {}, {}
+    import corpus_pipeline
+    from kerbstone.llm import queries as llm
+
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}, llm.ORACLE_SQL | pipeline_sql
