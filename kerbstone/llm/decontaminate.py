@@ -94,7 +94,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         .select(
             "doc_id",
             "row_key",
-            F.when(F.col("candidates").isNull(), F.array_remove(F.split(text_or_empty(), NOT_WORD), ""))
+            F.when(F.col("candidates").isNull(), _folded_words())
             .otherwise(words())
             .alias("w"),  # exact words where they are compared, else only their number counts
             "candidates",

@@ -3,7 +3,7 @@
 Hypotheses are ``LANGUAGES`` and ``und``, under which all three-byte runs are equally likely.
 The posterior is the product of
 
-* the text's likelihood: counts of hashed three-byte runs by language over all labelled
+* the text's likelihood: counts of hashed three-byte runs of letters and blanks by language over all labelled
   documents, add-half smoothed; long texts count as ``EVIDENCE`` runs, as runs overlap;
 * the likelihoods of the declared markup language, of the address's suffix (last label of the
   host) and of its section (first path segment), learned by grouped counts against the
@@ -37,10 +37,12 @@ LANGUAGES = ("de", "en", "es", "fr")
 HYPOTHESES = (*LANGUAGES, "und")
 RUNS = 1 << 15
 EVIDENCE = 300
-LEAST = 0.6
+LEAST = 0.5
 STRENGTH = 20.0  # documents that a parent's shares count as
-UND = 0.01  # prior
+UND = 1e-4  # prior
 _LETTER = np.zeros(256, bool)
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\n\r\v\f")] = True
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
@@ -52,8 +54,11 @@ def _runs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     of = np.repeat(np.arange(len(texts)), lengths)
     wide = data.astype(np.uint32)
     runs = ((wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]) * np.uint32(0x9E3779B1)) >> np.uint32(17)
-    same = of[:-2] == of[2:]
-    letters = np.bincount(of[_LETTER[data]], minlength=len(texts))
+    # Only letters and blanks say something: no digits, marks or addresses.
+    letter, blank = _LETTER[data], _BLANK[data]
+    plain = letter | blank
+    same = (of[:-2] == of[2:]) & plain[:-2] & plain[1:-1] & plain[2:] & (letter[:-2] | letter[1:-1])
+    letters = np.bincount(of[letter], minlength=len(texts))
     return runs[same], of[:-2][same], letters
 
 

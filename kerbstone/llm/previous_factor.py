@@ -45,7 +45,8 @@ MANY = 2048  # contexts of one anchor beyond which windows are dealt out singly
 GATHER = 1_000_000  # bytes of contexts in one suffix array
 
 _RANDOM = np.random.default_rng(9).integers(0, 2**63, 258, dtype=np.int64).astype(np.uint64)
-_BYTE, _BASE, _ODD = _RANDOM[:256], _RANDOM[256] * np.uint64(8) + np.uint64(5), _RANDOM[257] * np.uint64(2) + np.uint64(1)
+_BYTE = _RANDOM[:256]
+_BASE, _ODD = (_RANDOM[256:] << np.uint64(3)) | np.uint64(5)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
