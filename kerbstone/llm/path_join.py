@@ -41,12 +41,12 @@ from .graph import components
 from .tasks import WordHashes, chunks, whole_groups
 
 SHINGLE = 5
-POSITIONS = 24
+POSITIONS = 48
 TREES = 8
-SMALL = 256
-BLOCK = 128
+SMALL = 2048
+BLOCK = 256
 DEPTH = 12
-LEAST_AGREE = 11  # of 24 tokens; a pair of similarity 0.8 has fewer with probability 4e-5
+HEAVY = 2048  # shingles; a larger set counts as several classes where sizes are bounded
 COLUMNS = 8192  # of the matrix that is multiplied at once
 
 _RANDOM = np.random.default_rng(5).integers(0, 2**63, (2, POSITIONS), dtype=np.int64).astype(np.uint64)
@@ -148,8 +148,18 @@ def _reached(linked: np.ndarray) -> np.ndarray:
         root = least
 
 
+def least_agreement(percent: int) -> int:
+    """Tokens a pair at the threshold shares at least, up to 4.5 standard deviations (3e-5)."""
+    share = percent / 100
+    return int(POSITIONS * share - 4.5 * (POSITIONS * share * (1 - share)) ** 0.5)
+
+
 def _likely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Small nodes to groups of classes whose minwise tokens agree often enough."""
+    """Small nodes to groups of classes whose minwise tokens agree often enough.
+
+    Pairs that are in one component already have nothing to add.
+    """
+    least = least_agreement(percent)
     for node in whole_groups(batches, "node"):
         classes = node.column("class").to_pylist()
         sizes = node.column("n_shingles").to_numpy(zero_copy_only=False)
@@ -158,10 +168,11 @@ def _likely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         for column in tokens.T:
             agree += column[:, None] == column[None, :]
         close = 100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes)
-        root = _reached((agree >= LEAST_AGREE) & close)
+        known = node.column("root").dictionary_encode().indices.to_numpy()
+        root = _reached((agree >= least) & close & (known[:, None] != known))
         groups, members = [], []
-        for least in np.flatnonzero(np.bincount(root) > 1):
-            own = sorted(classes[i] for i in np.flatnonzero(root == least))
+        for first in np.flatnonzero(np.bincount(root) > 1):
+            own = sorted(classes[i] for i in np.flatnonzero(root == first))
             groups += [hashlib.blake2b(b"".join(own), digest_size=16).digest()] * len(own)
             members += own
         yield pa.RecordBatch.from_arrays(
@@ -216,9 +227,10 @@ def _links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sized(nodes: DataFrame) -> DataFrame:
-    """Nodes with ``many``, how many classes they have; those of one class go."""
-    many = nodes.groupBy("node").agg(F.count("*").alias("many")).where("many > 1")
-    return settle(nodes.join(many, "node"))
+    """Nodes with ``many``, how many classes they have by weight; those of one class go."""
+    weight = F.greatest(F.lit(1), F.col("n_shingles") / HEAVY)
+    many = nodes.groupBy("node").agg(F.sum(weight).alias("many"), F.count("*").alias("n"))
+    return settle(nodes.join(many.where("n > 1").drop("n"), "node"))
 
 
 def _children() -> Column:
@@ -302,7 +314,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         small = small.unionByName(below.where(F.col("many") <= SMALL))
         wide = settle(below.where(F.col("many") > SMALL))
     likely = (
-        small.select("node", "class", "n_shingles", "tokens")
+        small.join(roots.withColumnRenamed("node", "class"), "class", "left")
+        .select("node", "class", "n_shingles", "tokens", F.coalesce("root", "class").alias("root"))
         .repartition("node")
         .sortWithinPartitions("node")
         .mapInArrow(lambda b: _likely(b, percent), "group binary, class binary")
