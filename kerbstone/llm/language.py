@@ -17,7 +17,8 @@ a page have their source as host and no other evidence. Texts are read by Spark
 emit a few numbers a document; everything after that is joins of narrow rows.
 
 Defined results: NULL and empty texts are rejected; NULL source is a host of its own; labels
-other than ``LANGUAGES`` teach nothing; of several pages with one number the least address
+other than ``LANGUAGES`` teach nothing, and a language without labelled documents never wins over
+one with; of several pages with one number the least address
 counts; repeated rows are judged each; an empty table gives an empty result.
 """
 
@@ -40,6 +41,7 @@ EVIDENCE = 300
 LEAST = 0.5
 STRENGTH = 20.0  # documents that a parent's shares count as
 UND = 1e-4  # prior
+UNTAUGHT = -50.0  # log P of any run in a language that no document is labelled with
 _LETTER = np.zeros(256, bool)
 _BLANK = np.zeros(256, bool)
 _BLANK[list(b" \t\n\r\v\f")] = True
@@ -92,7 +94,9 @@ def text_model(docs: DataFrame) -> np.ndarray:
     counts = np.full((len(HYPOTHESES), RUNS), 0.5)
     counts[found.column("language").to_numpy(), found.column("run").to_numpy()] += found.column("n").to_numpy()
     counts[-1] = 1
-    return np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
+    model = np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
+    model[counts.sum(1) == RUNS / 2] = UNTAUGHT
+    return model
 
 
 def _judged(model: np.ndarray):
