@@ -26,6 +26,17 @@ def chunks(texts: list[bytes | None], most: int = CHUNK) -> Iterator[list[bytes
         yield chunk
 
 
+def text_chunks(texts: pa.Array, most: int = CHUNK) -> Iterator[list[bytes | None]]:
+    """As ``chunks``, from an Arrow column: only one run at a time is copied out of it."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        done = int(ends[start - 1]) if start else 0
+        stop = int(np.searchsorted(ends, done + most, "right")) + 1
+        yield texts.slice(start, stop - start).to_pylist()
+        start = stop
+
+
 class WordHashes(dict):
     """64-bit hashes of words, the same on every machine; a bounded memory of them."""
 
