@@ -28,7 +28,7 @@ from kerbstone.operators.routing import quarantine_rows, valid_rows  # noqa: E40
 from kerbstone.operators.silver import to_silver  # noqa: E402
 from kerbstone.session import builder, jit_sized_methods  # noqa: E402
 from kerbstone.sinks.lakehouse import BatchId, Lakehouse  # noqa: E402
-from kerbstone.sources.event_feed import bronze_rows  # noqa: E402
+from event_feed import bronze_rows  # noqa: E402
 from kerbstone.streaming.silver_gold_job import SilverGoldJob  # noqa: E402
 
 RUNS = 3

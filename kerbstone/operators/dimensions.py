@@ -3,6 +3,7 @@
 A key does not determine all attributes (a road key covers many coordinates), so
 one source row must be picked per key. The pick is the earliest event and, among
 events of the same instant, the smallest attributes in their order, NULLs first.
+An event without a time comes after all that have one.
 Being a minimum, it does not depend on row order, partitioning or retries.
 """
 
@@ -24,7 +25,7 @@ def build_dimension(silver: DataFrame, name: str) -> DataFrame:
     all rows (such as the NULL incident key) costs the exchange no more than others.
     """
     key, attributes = rules.DIMENSIONS[name].key, rules.DIMENSIONS[name].attributes
-    ranked = (_EARLIEST, *(a for a in attributes if a != _EARLIEST))
+    ranked = (f"{_EARLIEST} is null", _EARLIEST, *(a for a in attributes if a != _EARLIEST))
     picked = silver.groupBy(F.expr(keys.key_text(key)).alias("key_text")).agg(
         F.expr(f"min(struct({', '.join(ranked)}))").alias("row")
     )

@@ -10,7 +10,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from kerbstone import rules, session  # noqa: E402
 from kerbstone.sources import streams  # noqa: E402
-from kerbstone.sources.event_feed import bronze_rows, sensor_messages  # noqa: E402
+from event_feed import bronze_rows, sensor_messages  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
