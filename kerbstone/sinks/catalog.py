@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructField
 
 from kerbstone import rules
 from kerbstone.sinks.lakehouse import Lakehouse
@@ -16,7 +19,8 @@ def register_tables(
 ) -> list[str]:
     """Create and use the database, and register every gold table by its location.
 
-    Existing objects are left alone. Bronze, silver and quarantine stay unregistered.
+    Existing objects stay, and evolving tables gain the columns that batches have brought
+    since: register again to see them. Bronze, silver and quarantine stay unregistered.
     Batch folders are read recursively, so new batches need no partition repair: a
     running session sees them after ``REFRESH TABLE``.
     """
@@ -26,8 +30,19 @@ def register_tables(
     options = "" if tables.fmt == "delta" else "OPTIONS (recursiveFileLookup 'true') "
     names = [*rules.DIMENSIONS, *rules.FACTS]
     for name in names:
+        schema = None if tables.is_delta else tables.schema(spark, tables.gold(name))
+        columns = f"({_ddl(schema)}) " if schema else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{name} USING {tables.fmt} "
+            f"CREATE TABLE IF NOT EXISTS {database}.{name} {columns}USING {tables.fmt} "
             f"{options}LOCATION '{tables.gold(name)}'"
         )
+        there = set(spark.table(f"{database}.{name}").columns)
+        added = [field for field in schema or () if field.name not in there]
+        if added:
+            spark.sql(f"ALTER TABLE {database}.{name} ADD COLUMNS ({_ddl(added)})")
+        spark.catalog.refreshTable(f"{database}.{name}")  # no listing of files is kept
     return names
+
+
+def _ddl(fields: Iterable[StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)

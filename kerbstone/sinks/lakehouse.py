@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 STREAM = "stream_id"
 BATCH = "batch_id"
@@ -75,7 +76,8 @@ class Lakehouse:
                 writer = writer.option("mergeSchema", "true")
             writer.save(path)
         else:
-            # Each batch carries its own schema; readers merge them (see ``read``).
+            if evolve:
+                self._record_schema(rows, path, batch)
             rows.write.format(self.fmt).mode("overwrite").save(self._folder(path, batch))
 
     def read_batch(
@@ -84,12 +86,47 @@ class Lakehouse:
         """One batch just written, from its own files (not for Delta tables)."""
         return spark.read.format(self.fmt).schema(schema).load(self._folder(path, batch))
 
-    def read(self, spark: SparkSession, path: str, evolved: bool = False) -> DataFrame:
-        """A whole table. ``evolved`` merges the schemas of its files, which reads all footers."""
+    def read(self, spark: SparkSession, path: str) -> DataFrame:
+        """A whole table, with every column one of its batches had."""
         reader = spark.read.format(self.fmt)
         if self.is_delta:
             return reader.load(path)
-        return reader.option("mergeSchema", evolved).load(path).drop(STREAM, BATCH)
+        schema = self.schema(spark, path)
+        return (reader.schema(schema) if schema else reader).load(path).drop(STREAM, BATCH)
+
+    def schema(self, spark: SparkSession, path: str) -> StructType | None:
+        """The columns of an evolving file table; None if none are recorded.
+
+        Every batch that widened the table recorded its schema in a folder of its own, so
+        readers need no footers and a replay records nothing twice.
+        """
+        try:
+            records = spark.read.option("recursiveFileLookup", True).text(self._schemas(path)).collect()
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        schemas = [StructType.fromJson(json.loads(r.value)) for r in records]
+        fields: dict[str, StructField] = {}
+        for schema in sorted(schemas, key=lambda s: (len(s), s.json())):
+            for field in schema:
+                fields.setdefault(field.name, field)
+        return StructType(list(fields.values())) if fields else None
+
+    def _record_schema(self, rows: DataFrame, path: str, batch: BatchId) -> None:
+        spark = rows.sparkSession
+        known = {f.name: f.dataType for f in self.schema(spark, path) or ()}
+        for field in rows.schema:
+            if known.get(field.name, field.dataType) != field.dataType:
+                raise ValueError(f"{path}: {field.name} is {known[field.name].simpleString()}, "
+                                 f"a batch has {field.dataType.simpleString()}")
+        if not known.keys() >= set(rows.columns):
+            schema = StructType([StructField(f.name, f.dataType) for f in rows.schema])
+            record = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+            record.write.mode("overwrite").text(f"{self._schemas(path)}/{batch.stream}-{batch.number}")
+
+    def _schemas(self, path: str) -> str:
+        return f"{self.base}/schemas{path.removeprefix(self.base)}"
 
     def read_without(self, spark: SparkSession, path: str, batch: BatchId) -> DataFrame | None:
         """The table as it was before ``batch``, also when that batch is a replay.

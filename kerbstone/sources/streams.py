@@ -7,9 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from kerbstone import rules
 
 MESSAGE_SCHEMA = "value BINARY, timestamp TIMESTAMP"
+# What one micro-batch takes of a backlog at most, unless an option sets another bound.
+KAFKA_BOUND = {"maxOffsetsPerTrigger": "50000000"}
+FILE_BOUND = {"maxBytesPerTrigger": str(64 << 30)}
 BRONZE_SCHEMA = f"raw_json STRING, kafka_timestamp TIMESTAMP, {rules.EVENT_SCHEMA}"
 
 
+def _bounded(options: dict[str, str], bound: dict[str, str]) -> dict[str, str]:
+    return options if any(o.lower().startswith("max") for o in options) else bound | options
+
+
 def kafka_messages(
     spark: SparkSession,
     servers: str,
@@ -27,14 +34,14 @@ def kafka_messages(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .options(**options)
+        .options(**_bounded(options, KAFKA_BOUND))
         .load()
     )
 
 
 def file_messages(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """The same two columns from Parquet files dropped into a folder."""
-    return spark.readStream.schema(MESSAGE_SCHEMA).options(**options).parquet(path)
+    return spark.readStream.schema(MESSAGE_SCHEMA).options(**_bounded(options, FILE_BOUND)).parquet(path)
 
 
 def bronze_rows(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -43,7 +50,7 @@ def bronze_rows(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a micro-batch, which
     matters when a long backlog is read for the first time.
     """
-    reader = spark.readStream.format(fmt).options(**options)
+    reader = spark.readStream.format(fmt).options(**_bounded(options, FILE_BOUND))
     if fmt != "delta":  # a Delta table brings its own schema
         reader = reader.schema(BRONZE_SCHEMA)
     return reader.load(path)

@@ -1,3 +1,4 @@
+import pytest
 from kerbstone import rules
 from kerbstone.sinks.catalog import register_tables
 from kerbstone.sinks.lakehouse import BatchId, Lakehouse
@@ -29,3 +30,25 @@ def test_gold_tables_by_name(spark, make_bronze, tmp_path):
         assert joined.first()[0] == 4  # the same keys came in two batches
     finally:
         spark.catalog.setCurrentDatabase(before)
+
+
+def test_columns_that_a_later_batch_brings_are_seen_by_path_and_by_name(spark, tmp_path):
+    tables = Lakehouse(str(tmp_path / "lake"))
+    for name in (*rules.DIMENSIONS, *rules.FACTS):
+        tables.write_batch(spark.sql("select 1 as a"), tables.gold(name), BatchId("s", 0), evolve=name in rules.DIMENSIONS)
+    before = spark.catalog.currentDatabase()
+    try:
+        register_tables(spark, tables, "evolving", str(tmp_path / "db"))
+        path = tables.gold("dim_vehicle")
+        for _ in range(2):  # the second time as a replay
+            tables.write_batch(spark.sql("select 2 as a, 'x' as b"), path, BatchId("s", 1), evolve=True)
+        register_tables(spark, tables, "evolving", str(tmp_path / "db"))
+        spark.sql("refresh table evolving.dim_vehicle")
+        expected = [(1, None), (2, "x")]
+        assert sorted(map(tuple, tables.read(spark, path).collect())) == expected
+        assert sorted(map(tuple, spark.table("evolving.dim_vehicle").collect())) == expected
+        with pytest.raises(ValueError, match="a is int"):
+            tables.write_batch(spark.sql("select 'text' as a"), path, BatchId("s", 2), evolve=True)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("drop database if exists evolving cascade")

@@ -160,7 +160,7 @@ def test_tables_take_new_columns(spark, tmp_path):
     new = spark.createDataFrame([(2, "x")], "a int, b string")
     tables.write_batch(old, tables.silver, BatchId("s", 0), evolve=True)
     tables.write_batch(new, tables.silver, BatchId("s", 1), evolve=True)
-    assert sorted_rows(tables.read(spark, tables.silver, evolved=True)) == [(1, None), (2, "x")]
+    assert sorted_rows(tables.read(spark, tables.silver)) == [(1, None), (2, "x")]
 
 
 def test_reading_without_a_batch(spark, tmp_path):
