@@ -63,5 +63,33 @@ def join_rows(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame
     return left.join(right.withColumnsRenamed(keys), same, how).drop(*keys.values())
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column of ``docs`` has them."""
+    taken = {c.lower() for c in docs.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
+def join_whole(docs: DataFrame, found: DataFrame, how: str, key: Column | None = None, **values: str) -> DataFrame:
+    """``docs`` with all their columns joined to ``found`` on doc_id (NULL equals NULL) and row_key.
+
+    ``key`` is the row key made from the text, by default that of ``with_row_key``. ``values``:
+    names that columns of ``found`` get; they and the keys must be unused in ``docs``.
+    """
+    own, of_id, of_key = unused(docs, "own_key", "found_id", "found_key")
+    right = found.select(
+        F.col("doc_id").alias(of_id), F.col("row_key").alias(of_key),
+        *(F.col(old).alias(new) for old, new in values.items()),
+    )
+    keyed = docs.withColumn(own, F.xxhash64(text_or_empty()) if key is None else key)
+    same = (F.col(own) == F.col(of_key)) & F.col("doc_id").eqNullSafe(F.col(of_id))
+    return keyed.join(right, same, how).drop(own, of_id, of_key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -12,7 +12,8 @@ same join shuffles.
 
 Defined results: NULL or word-less texts have no words and no hits; NULL item_id counts as an
 item named by the empty string; repeated items count once; rows that repeat doc_id and text
-get the same result each.
+get the same result each; an empty table gives an empty result, an empty benchmark no hits;
+other columns may have any names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_rows, lower_ascii, settle, text_or_empty, with_row_key
+from .common import join_rows, join_whole, lower_ascii, settle, text_or_empty, with_row_key
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -30,14 +31,6 @@ def words(text: Column | str = "text") -> Column:
     return F.array_remove(F.split(lower_ascii(text_or_empty(text)), NOT_WORD), "")
 
 
-def _folded_words() -> Column:
-    """The words with all letters lower-cased: as many, at the same places, cheaper to make.
-
-    Texts with equal words have equal folded words, so these find all candidates.
-    """
-    return F.array_remove(F.split(F.lower(text_or_empty()), NOT_WORD), "")
-
-
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """item_id (text), win: each distinct window of each item, its words joined by blanks."""
     items = benchmark.select(
@@ -52,11 +45,11 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def _prefix_tokens(windows: DataFrame, docs: DataFrame) -> DataFrame:
     """word, win, offset, length: each window under its rarest word."""
     placed = windows.select("win").distinct().select(
-        "win", F.posexplode(F.split(F.lower("win"), " ")).alias("offset", "word")
+        "win", F.posexplode(F.split("win", " ")).alias("offset", "word")
     )
     vocabulary = settle(placed.select("word").distinct())
     counts = settle(
-        docs.select(F.explode(_folded_words()).alias("word"))
+        docs.select(F.explode(words()).alias("word"))
         .join(vocabulary, "word")
         .groupBy("word")
         .count()
@@ -80,7 +73,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     docs = with_row_key(docs.select("doc_id", "text"))
     prefix = _prefix_tokens(windows, docs)
     positions = docs.select(
-        "doc_id", "row_key", F.posexplode(_folded_words()).alias("position", "word")
+        "doc_id", "row_key", F.posexplode(words()).alias("position", "word")
     )
     start = F.col("position") - F.col("offset")
     candidates = settle(
@@ -94,9 +87,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         .select(
             "doc_id",
             "row_key",
-            F.when(F.col("candidates").isNull(), _folded_words())
-            .otherwise(words())
-            .alias("w"),  # exact words where they are compared, else only their number counts
+            words().alias("w"),
             "candidates",
         )
         .select(
@@ -151,6 +142,4 @@ def contaminated() -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    keyed = with_row_key(docs)
-    found = contamination(docs, benchmark).where(contaminated())
-    return join_rows(keyed, found.select("doc_id", "row_key"), "left_anti").drop("row_key")
+    return join_whole(docs, contamination(docs, benchmark).where(contaminated()), "left_anti")

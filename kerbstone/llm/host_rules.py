@@ -1,10 +1,18 @@
 """Quality rules judged by host: failure rates by domain, shrunk by an empirical beta prior.
 
 Four rules of the document (symbol share, repeated lines, repeated 8-word runs, few words) may
-fail. Failures are summed by host; a beta prior fitted to all hosts by moments shrinks each
-host's rate, so that small hosts aren't judged by chance. A host whose shrunk rate is above
-``STRICT`` is strict: there a document stays only if it fails no rule at all. Elsewhere only the base rules drop it. A document that
-fails nothing always stays, whatever its host.
+fail, and each counts twice where it fails by twice its limit. Documents that fail any are
+summed by host; a beta prior fitted to all hosts by moments shrinks each host's rate, so that
+small hosts aren't judged by chance. How many failures a document may have depends on where its
+host's posterior lies against the prior:
+
+* strict hosts, surely above the prior's mean by a margin: none;
+* clean hosts, surely below it by a margin: two;
+* all others, whose documents are judged by the pooled prior: one.
+
+The margin is half the prior's deviation, ``MARGIN`` at least; surely means a probability of 95 %
+(``SURE`` deviations of the posterior). The base rules drop a document in any host. A document
+that fails nothing always stays, whatever its host.
 
 Counts are partial sums by host in every task, so a host with a third of all rows costs one row
 a task; the verdicts come back by a join that adaptive execution may split.
@@ -27,7 +35,8 @@ from .common import settle
 from .tasks import chunks
 
 SYMBOLS = b"#*$%&|<>"
-STRICT = 0.3
+MARGIN = 0.02
+SURE = 1.645
 RUN = 8
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -104,25 +113,42 @@ def base_failed() -> Column:
 
 
 def failures() -> dict[str, Column]:
-    """The rules, each true where the document fails it."""
+    """How often each rule fails for the document: 0, 1, or 2 beyond twice its limit."""
+
+    def beyond(amount: Column, limit: Column) -> Column:
+        return (amount > limit).cast("int") + (amount > 2 * limit).cast("int")
+
     words = F.col("n_words")
     return {
-        "few_words": words < 20,
-        "many_symbols": 100 * F.col("n_symbols") > 5 * F.col("word_chars"),
-        "repeated_lines": 10 * F.col("n_dup_lines") > words,
-        "repeated_runs": 100 * F.col("n_repeat_words") > 30 * words,
+        "few_words": (words < 20).cast("int") + (words < 10).cast("int"),
+        "many_symbols": beyond(100 * F.col("n_symbols"), 5 * F.col("word_chars")),
+        "repeated_lines": beyond(10 * F.col("n_dup_lines"), words),
+        "repeated_runs": beyond(100 * F.col("n_repeat_words"), 30 * words),
     }
 
 
+def n_failures() -> Column:
+    return sum(failures().values(), F.lit(0))
+
+
 def host_verdicts(measured: DataFrame) -> DataFrame:
-    """host, n, failed, rate (shrunk), strict."""
-    fails = F.greatest(*(f.cast("int") for f in failures().values()))
+    """host, n, failed, rate (shrunk), allowed: how many failures a document may have there."""
+    fails = (n_failures() > 0).cast("long")
     hosts = settle(
         measured.groupBy("host").agg(F.count("*").alias("n"), F.sum(fails).alias("failed"))
     )
     alpha, beta = prior(hosts)
-    rate = (F.col("failed") + alpha) / (F.col("n") + alpha + beta)
-    return hosts.withColumn("rate", rate).withColumn("strict", F.col("rate") > STRICT)
+    strength = alpha + beta
+    mean = alpha / strength
+    margin = max(MARGIN, (mean * (1 - mean) / (strength + 1)) ** 0.5 / 2)
+    rate = (F.col("failed") + alpha) / (F.col("n") + strength)
+    sure = SURE * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + strength + 1))
+    allowed = (
+        F.when(F.col("rate") - sure > mean + margin, 0)
+        .when(F.col("rate") + sure < mean - margin, 2)
+        .otherwise(1)
+    )
+    return hosts.withColumn("rate", rate).withColumn("allowed", allowed)
 
 
 def prior(hosts: DataFrame) -> tuple[float, float]:
@@ -141,7 +167,7 @@ def prior(hosts: DataFrame) -> tuple[float, float]:
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:
-    """doc_id, host, the five counts, base_failed, kept, and the host's rate."""
+    """doc_id, host, the five counts, base_failed, n_failures, kept, the host's rate and allowed."""
     measured = settle(
         docs.select(
             "doc_id",
@@ -150,13 +176,13 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
         ).mapInArrow(_measured, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, host string, {MEASURES}")
     )
     verdicts = host_verdicts(measured)
-    fails_any = F.greatest(*(f.cast("int") for f in failures().values())) == 1
     return (
         measured.join(
-            verdicts.select(F.col("host").alias("of"), "rate", "strict"),
+            verdicts.select(F.col("host").alias("of"), "rate", "allowed"),
             F.col("host").eqNullSafe(F.col("of")),
         )
         .withColumn("base_failed", base_failed())
-        .withColumn("kept", ~F.col("base_failed") & ~(F.col("strict") & fails_any))
+        .withColumn("n_failures", n_failures())
+        .withColumn("kept", ~F.col("base_failed") & (F.col("n_failures") <= F.col("allowed")))
         .drop("of")
     )

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_rows, lower_ascii, settle, text_or_empty, with_row_key
+from .common import join_whole, lower_ascii, settle, text_or_empty, with_row_key
 from .tasks import chunks
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -235,4 +235,4 @@ def identify(docs: DataFrame, pages: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, pages: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is known, with all their columns."""
     rejected = identify(docs, pages).where("not kept").select("doc_id", "row_key").distinct()
-    return join_rows(with_row_key(docs), settle(rejected), "left_anti").drop("row_key")
+    return join_whole(docs, settle(rejected), "left_anti")

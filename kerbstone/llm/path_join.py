@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, text_or_empty
+from .common import join_whole, settle, text_or_empty
 from .graph import components
 from .tasks import WordHashes, chunks, whole_groups
 
@@ -345,7 +345,5 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     Rows without an id can't be told apart by it and stay.
     """
     later = near_duplicates(docs, percent).where("not kept and doc_id is not null")
-    gone = settle(later.select(F.col("doc_id").alias("_gone"), "text_key").distinct())
-    keyed = docs.withColumn("_key", F.unhex(F.md5(text_or_empty())))
-    same = (F.col("doc_id") == F.col("_gone")) & (F.col("_key") == F.col("text_key"))
-    return keyed.join(gone, same, "left_anti").drop("_key")
+    gone = settle(later.select("doc_id", F.col("text_key").alias("row_key")).distinct())
+    return join_whole(docs, gone, "left_anti", key=F.unhex(F.md5(text_or_empty())))

@@ -8,11 +8,10 @@ anchor occurrence form one context of at most 168 bytes. Contexts are dealt out
 1. Anchors that occur once are dropped. Where a context is equal to an earlier one (two
    independent 64-bit hashes), all its windows are later copies: no text has to move.
 2. What is left are different contexts of one anchor, mostly where a copied passage begins or
-   ends. Their bytes are gathered by anchor, and for some MB of them at a time a suffix array
-   is built, up to the length that matters. In suffix order the previous smaller position of a
-   suffix, or the next, holds its longest previous factor; with suffixes equal in the first
-   ``LENGTH`` bytes kept in text order, the previous smaller is the neighbour before it. A
-   factor of ``LENGTH`` or more marks the window.
+   ends. Their bytes are gathered by anchor, and for about a MB of them at a time a suffix
+   array is built, up to the length that matters. In suffix order the previous and the next
+   smaller position of a suffix give its longest previous factor; one of ``LENGTH`` marks
+   the window.
 3. Anchors with very many different contexts are not gathered: their windows are dealt out by
    the windows' own hashes, and the first rule decides them.
 
@@ -36,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_rows, settle, with_row_key
+from .common import join_rows, join_whole, settle, unused, with_row_key
 from .tasks import chunks, whole_groups
 
 LENGTH = 100
@@ -47,6 +46,7 @@ GATHER = 1_000_000  # bytes of contexts in one suffix array
 _RANDOM = np.random.default_rng(9).integers(0, 2**63, 258, dtype=np.int64).astype(np.uint64)
 _BYTE = _RANDOM[:256]
 _BASE, _ODD = (_RANDOM[256:] << np.uint64(3)) | np.uint64(5)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -54,6 +54,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """The powers 0, 1, ... n - 1, modulo 2^64."""
+    power = np.full(n, base)
+    power[0] = 1
+    return np.multiply.accumulate(power, out=power)
+
+
 # --- anchors ------------------------------------------------------------------------------
 
 
@@ -69,17 +76,16 @@ def anchors(texts: list[bytes]) -> dict[str, np.ndarray]:
     empty = np.zeros(0, np.int64)
     if n < LENGTH:
         return dict.fromkeys(("doc", "anchor", "context", "start", "span"), empty)
-    power = np.empty(n + 1, np.uint64)
-    power[0] = 1
-    power[1:] = _BASE
-    np.multiply.accumulate(power, out=power)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:n], out=total[1:])
+    np.cumsum(_BYTE[data] * _powers(_BASE, n), out=total[1:])
+    # A string's sum holds the powers of its places. Times the inverse power of its start it
+    # is the same wherever the string stands, in whichever chunk or task.
+    back = _powers(_INVERSE, n)
 
     def hashed(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return (total[stop] - total[start]) * power[n - start]
+        return (total[stop] - total[start]) * back[start]
 
-    piece = _mix((total[PIECE:] - total[:-PIECE]) * power[n : PIECE - 1 : -1])
+    piece = _mix((total[PIECE:] - total[:-PIECE]) * back[: n - PIECE + 1])
     # The least piece of each window: hash above, place below, so that the leftmost wins.
     least = (piece & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(piece), dtype=np.uint64)
     width, pieces = 1, LENGTH - PIECE + 1
@@ -242,44 +248,73 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def suffix_classes(data: np.ndarray) -> np.ndarray:
-    """For each place of ``data`` the rank of its suffix among all, by the first LENGTH bytes.
+def suffix_ranks(data: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The ranks of all suffixes of ``data`` by their first 1, 2, 4 ... LENGTH bytes.
 
-    Four bytes are their own rank. Ranks of up to twice the width come from pairs of ranks;
-    the last step overlaps. Past the end stands 0.
+    Ranks of up to twice the width come from pairs of ranks; the last step overlaps. Past the
+    end stands 0.
     """
     n = len(data)
-    padded = np.concatenate((data.astype(np.int64) + 1, np.zeros(LENGTH, np.int64)))
-    rank = np.zeros(n, np.int64)
-    for i in range(4):
-        rank = rank * 257 + padded[i : i + n]
-    rank, width = _dense(rank), 4
-    while width < LENGTH:
+    levels = [(1, data.astype(np.int64) + 1)]
+    while levels[-1][0] < LENGTH:
+        width, rank = levels[-1]
         step = min(width, LENGTH - width)
         after = np.zeros(n, np.int64)
         after[: max(0, n - step)] = rank[step:]
-        rank, width = _dense(rank * (n + 1) + after), width + step
-    return rank
-
+        levels.append((width + step, np.unique(rank * (max(n, 256) + 2) + after, return_inverse=True)[1] + 1))
+    return levels
+
+
+def common_prefix(levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bytes the suffixes at ``a`` and ``b`` have in common, LENGTH at most."""
+    n = len(levels[0][1])
+    width, rank = levels[-1]
+    whole = rank[a] == rank[b]
+    a, b, common = a.copy(), b.copy(), np.zeros(len(a), np.int64)
+    for width, rank in reversed(levels[:-1]):
+        inside = ~whole & (a < n) & (b < n)
+        same = np.zeros(len(a), bool)
+        same[inside] = rank[a[inside]] == rank[b[inside]]
+        common[same] += width
+        a[same] += width
+        b[same] += width
+    return np.where(whole, LENGTH, np.minimum(common, LENGTH))
+
+
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """For each place the last place before it with a smaller value, or -1.
+
+    All places between a place and its candidate hold larger values, so where the candidate's
+    is larger, too, the candidate's own candidate is next. Chains halve with every round.
+    """
+    candidate = np.arange(len(values)) - 1
+    wrong = np.arange(1, len(values))
+    while len(wrong):
+        at = candidate[wrong]
+        wrong = wrong[(at >= 0) & (values[at] > values[wrong])]
+        candidate[wrong] = candidate[candidate[wrong]]
+    return candidate
 
-def _dense(keys: np.ndarray) -> np.ndarray:
-    return np.unique(keys, return_inverse=True)[1] + 1
 
+def previous_factors(contexts: list[bytes], spans: np.ndarray) -> list[np.ndarray]:
+    """For each context, in text order, the longest previous factor (LENGTH at most) of its windows.
 
-def later_windows(contexts: list[bytes], spans: np.ndarray) -> list[np.ndarray]:
-    """For each context, in text order, which of its windows also start earlier."""
+    The longest string at a window's start that also starts at an earlier window: in suffix
+    order, the window before it with a smaller place, or the one after, has it in common.
+    """
     lengths = np.array([len(c) for c in contexts])
     begin = np.cumsum(lengths) - lengths
-    rank = suffix_classes(np.frombuffer(b"".join(contexts), np.uint8))
+    levels = suffix_ranks(np.frombuffer(b"".join(contexts), np.uint8))
     counts = spans + 1
     edges = np.cumsum(counts)
     windows = np.arange(edges[-1]) - np.repeat(edges - counts, counts) + np.repeat(begin, counts)
-    # The suffix array of the windows; equal ones stay in text order, so the previous smaller
-    # place of each but the first of its class is the one before it.
-    order = np.argsort(rank[windows], kind="stable")
-    sorted_ranks = rank[windows][order]
-    factor = np.zeros(len(windows), bool)
-    factor[order[1:]] = sorted_ranks[1:] == sorted_ranks[:-1]
+    place = np.argsort(levels[-1][1][windows], kind="stable")  # the suffix array, equal ones in text order
+    n = len(place)
+    factor = np.zeros(n, np.int64)
+    before, after = previous_smaller(place), n - 1 - previous_smaller(place[::-1])[::-1]
+    for neighbour, there in ((before, before >= 0), (after, after < n)):
+        own, other = windows[place[there]], windows[place[neighbour[there]]]
+        factor[place[there]] = np.maximum(factor[place[there]], common_prefix(levels, own, other))
     return np.split(factor, edges[:-1])
 
 
@@ -300,9 +335,10 @@ def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _runs(groups: list[pa.RecordBatch]) -> pa.RecordBatch:
     rows = pa.Table.from_batches(groups).combine_chunks().to_batches()[0]
     start = rows.column("start").to_numpy()
-    found = later_windows(rows.column("cut").to_pylist(), rows.column("span").to_numpy().astype(np.int64))
+    found = previous_factors(rows.column("cut").to_pylist(), rows.column("span").to_numpy().astype(np.int64))
     index, first, span = [], [], []
-    for i, marks in enumerate(found):
+    for i, factor in enumerate(found):
+        marks = factor >= LENGTH
         if marks.any():
             edges = np.flatnonzero(np.diff(np.concatenate(([0], marks.view(np.int8), [0]))))
             index += [i] * (len(edges) // 2)
@@ -410,16 +446,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A character that loses one of its bytes goes. Rows of which no word is left go, too, if
     something was removed from them.
     """
+    (kept,) = unused(docs, "kept_bytes")
     rest = remove_repeats(docs).where("n_removed > 0").dropDuplicates(["doc_id", "row_key"])
-    rest = settle(rest.select("doc_id", "row_key", F.col("kept").alias("_kept")))
-    joined = join_rows(with_row_key(docs), rest).drop("row_key")
+    joined = join_whole(docs, settle(rest.select("doc_id", "row_key", "kept")), "left", kept=kept)
     # Bytes that are no longer UTF-8 become a mark, and the mark goes.
-    clean = F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("\ufffd"), F.lit(""))
-    changed = F.col("_kept").isNotNull()
+    clean = F.replace(F.make_valid_utf8(F.col(kept).cast("string")), F.lit("\ufffd"), F.lit(""))
+    changed = F.col(kept).isNotNull()
     new = {"text": F.when(changed, clean).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(changed, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(
             F.col("n_chars")
         )
-    kept = joined.where(~changed | clean.rlike(r"[^\x20\x09-\x0D]"))
-    return kept.withColumns(new).select(*docs.columns)
+    return joined.where(~changed | clean.rlike(r"[^\x20\x09-\x0D]")).withColumns(new).drop(kept)

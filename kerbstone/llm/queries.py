@@ -28,7 +28,7 @@ def op2_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "rate",
+        "base_failed", "kept", "rate", "n_failures", "allowed",
     )
 
 

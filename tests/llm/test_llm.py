@@ -139,14 +139,55 @@ def test_host_rules_measure_whole_texts(docs, no_docs):
     assert host_rules.judge(no_docs).count() == 0
 
 
-def test_strict_hosts_lose_what_fails_any_rule_and_keep_what_fails_none(spark):
+def host_fixture(spark):
     clean = " ".join(f"word{i}" for i in range(40))
-    marked = " ".join(f"w{i}##" for i in range(40))
-    rows = [(i, marked if i % 10 else clean, None, "bad", 1, 0.0, "") for i in range(200)]
-    rows += [(200 + i, clean if i % 10 else marked, None, "fine", 1, 0.0, "") for i in range(200)]
+    mild = " ".join(f"word{i}" for i in range(40)) + " " + "#" * 15  # 5 to 10 % symbols
+    gross = " ".join(f"w{i}##" for i in range(40))
+    kinds = {"bad": (clean,) * 2 + (mild,) * 18, "fine": (clean,) * 19 + (gross,)}
+    kinds |= {f"middle{k}": (clean, clean, mild, gross) for k in range(3)}
+    rows, i = [], 0
+    for host, texts in kinds.items():
+        for _ in range(10):
+            for t in texts * (20 // len(texts)):
+                rows.append((i, t, None, host, 1, 0.0, ""))
+                i += 1
+    return rows + [(i, gross, None, None, 1, 0.0, "")]
+
+
+def test_verdicts_follow_the_hosts_posterior(spark):
+    rows = host_fixture(spark)
     found = by_id(host_rules.judge(spark.createDataFrame(rows, SCHEMA)))
-    for i, r in found.items():
-        assert r["kept"] == (i >= 200 or i % 10 == 0), i
+    fails = {}
+    for r in rows:
+        n, chars, symbols, lines, repeat = measured(r[1])
+        fails[r[0]] = sum(
+            (a > b) + (a > 2 * b) for a, b in ((100 * symbols, 5 * chars), (10 * lines, n), (100 * repeat, 30 * n))
+        ) + (n < 20) + (n < 10)
+    hosts = {}
+    for r in rows:
+        hosts.setdefault(r[3], []).append(fails[r[0]] > 0)
+    rates = [sum(x) / len(x) for x in hosts.values()]
+    mean = sum(rates) / len(rates)
+    spread = sum((x - mean) ** 2 for x in rates) / len(rates) - mean * (1 - mean) * sum(1 / len(x) for x in hosts.values()) / len(rates)
+    strength = max(mean * (1 - mean) / max(spread, 1e-6) - 1, 1.0)
+    margin = max(0.02, (mean * (1 - mean) / (strength + 1)) ** 0.5 / 2)
+    allowed = {}
+    for host, x in hosts.items():
+        rate = (sum(x) + mean * strength) / (len(x) + strength)
+        sure = 1.645 * (rate * (1 - rate) / (len(x) + strength + 1)) ** 0.5
+        allowed[host] = 0 if rate - sure > mean + margin else 2 if rate + sure < mean - margin else 1
+        assert all(found[r[0]]["rate"] == pytest.approx(rate) for r in rows if r[3] == host)
+    assert (allowed["bad"], allowed["fine"], allowed[None]) == (0, 2, 1)
+    for r in rows:
+        assert found[r[0]]["n_failures"] == fails[r[0]]
+        assert found[r[0]]["kept"] == (fails[r[0]] <= allowed[r[3]]), r[0]
+
+
+def test_hosts_alike_are_judged_by_the_pooled_prior(spark):
+    rows = [(i, t, None, f"h{i % 3}", 1, 0.0, "") for i, (_, t, *_) in enumerate(host_fixture(spark)[400:600]) for _ in (0, 1, 2)]
+    rows = [(k, *r[1:3], f"h{k % 3}", *r[4:]) for k, r in enumerate(rows)]
+    for r in host_rules.judge(spark.createDataFrame(rows, SCHEMA)).collect():
+        assert r["allowed"] == 1 and r["kept"] == (r["n_failures"] <= 1)
 
 
 # --- 4 ---
@@ -282,6 +323,18 @@ def test_decontamination_is_that_of_brute_force(spark, docs, no_docs):
     assert decontaminate.contamination(no_docs, benchmark).count() == 0
 
 
+def test_letters_that_fold_by_context_are_compared_as_they_are(spark):
+    texts = [
+        "ΟΔΟΣ.Α one two three four five six seven eight nine ten eleven",
+        "\u0130STANBUL a b c d e f g h i j k l m", "\u212Aelvin n o p q r s t u v w x y", "kelvin N o p q r s t u v w x y",
+    ]
+    frame = spark.createDataFrame([(i, t, None, None, 1, 0.0, "") for i, t in enumerate(texts)], SCHEMA)
+    for k, t in enumerate(texts):
+        found = by_id(decontaminate.contamination(frame, spark.createDataFrame([(9, t)], "item_id long, text string")))
+        for i in found:
+            assert (found[i]["n_hit"], found[i]["items"]) == ((len(bench_words(t)), ["9"]) if i == k else (0, [])), (k, i)
+
+
 # --- 8 ---
 
 
@@ -355,6 +408,35 @@ def test_repeats_are_those_of_brute_force(docs, no_docs, monkeypatch, many):
     assert previous_factor.remove_repeats(no_docs).count() == 0
 
 
+def test_passages_are_found_across_chunks_tasks_and_partitions(docs):
+    texts = [t.encode() for t in TEXTS if t]
+    whole = previous_factor.anchors(texts)
+    alone = [previous_factor.anchors([t]) for t in texts]
+    for column in ("anchor", "context", "start", "span"):
+        assert whole[column].tolist() == [x for a in alone for x in a[column].tolist()]
+    rows = lambda frame: sorted(tuple(map(str, r)) for r in frame.collect())
+    assert rows(previous_factor.remove_repeats(docs.coalesce(1))) == rows(previous_factor.remove_repeats(docs.repartition(8, "doc_id")))
+
+
+def test_previous_factors_are_those_of_brute_force():
+    import numpy as np
+
+    r = random.Random(5)
+    for _ in range(20):
+        base = bytes(r.choice(b"ab") for _ in range(400))
+        spans = [r.randint(0, 60) for _ in range(r.randint(1, 5))]
+        contexts = [base[s : s + span + 100] for s, span in zip(r.choices(range(200), k=len(spans)), spans)]
+        text = b"".join(contexts)
+        begins = [sum(map(len, contexts[:i])) for i in range(len(contexts))]
+        windows = [b + k for b, span in zip(begins, spans) for k in range(span + 1)]
+
+        def common(a, b):
+            return next((k for k in range(100) if max(a, b) + k >= len(text) or text[a + k] != text[b + k]), 100)
+
+        expected = [max((common(w, e) for e in windows[:i]), default=0) for i, w in enumerate(windows)]
+        assert np.concatenate(previous_factor.previous_factors(contexts, np.array(spans))).tolist() == expected
+
+
 # --- 10 ---
 
 
@@ -391,3 +473,39 @@ def test_sentencepiece_counts(docs):
     for i, r in found.items():
         if i is not None:
             assert r["n_tokens"] == len(model.encode(TEXTS[i] or ""))
+
+
+# --- every stage ---
+
+
+def test_stages_keep_columns_of_any_name_and_treat_repeated_rows_alike(spark):
+    odd = ["row_key", "own_key", "found_id", "found_key", "kept_bytes", "_kept", "_key", "text_key", "_right_id", "_right_key",
+           "kept", "language", "host", "node", "class", "component_id", "items", "a.b", "size", "word"]
+    en = "the quick brown fox jumps over the lazy dog and then it rests under a tree near the river "
+    texts = [en * 3, en * 3, "another text that the others do not hold at all in any way " * 2, en * 3, None, ""]
+    rows = [(i, t, "en", "s", 1, *[f"{c}{i}" for c in odd]) for i, t in enumerate(texts)]
+    rows += [rows[2], rows[0], (2, "the same id with another text here and now and then " * 3, "en", "s", 1, *["x"] * len(odd))]
+    names = ["doc_id", "text", "lang", "source", "n_chars", *odd]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{n}` {'long' if n in ('doc_id', 'n_chars') else 'string'}" for n in names))
+    pages = spark.createDataFrame([(1, "http://a.en/en/1", '<html lang="en">')], "page_id long, url string, html string")
+    benchmark = spark.createDataFrame([(1, texts[2])], "item_id long, text string")
+    out = {
+        "accepted": language.accepted(docs, pages),
+        "one_of_each": path_join.one_of_each(docs, 80),
+        "without_repeats": previous_factor.without_repeats(docs),
+        "clean": decontaminate.clean_documents(docs, benchmark),
+    }
+    for name, frame in out.items():
+        assert frame.columns == names, name
+        for r in frame.collect():
+            if r["a.b"] != "x":
+                assert [r[c] for c in odd] == [f"{c}{r['doc_id']}" for c in odd], name
+    ids = {name: sorted(r["doc_id"] for r in frame.collect()) for name, frame in out.items()}
+    assert ids["accepted"] == [0, 0, 1, 2, 2, 2, 3]
+    assert ids["one_of_each"] == [0, 0, 2, 2, 2, 4, 5]
+    assert ids["without_repeats"] == [0, 0, 2, 2, 2, 4, 5]
+    assert ids["clean"] == [0, 0, 1, 2, 3, 4, 5]
+    assert sorted(r["doc_id"] for r in mix.mix(docs).collect()) == [0, 0, 1, 2, 2, 2, 3, 4, 5]
+    for frame in (host_rules.judge(docs), token_cache.count_tokens(docs, TOKENIZER), bilinear_lm.score(docs),
+                  quality_vote.score(docs, spark.createDataFrame([(0, 1), (2, 0)], "doc_id long, quality int"))):
+        assert sorted(r["doc_id"] for r in frame.collect()) == [0, 0, 1, 2, 2, 2, 3, 4, 5]
