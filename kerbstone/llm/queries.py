@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bilinear_lm, decontaminate, host_rules, language, mix, path_join, previous_factor, quality_vote, token_cache, url_markov
+from . import (
+    bilinear_lm, bit_codes, cover_tree, decontaminate, host_rules, language, mix, path_join, prefix_trie, previous_factor,
+    quality_vote, token_cache, url_markov,
+)
 from .common import documents, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +82,23 @@ def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.trie(*prefix_trie.rebuilt(prefix_trie.numbered_turns(conversations))).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
+def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return cover_tree.hard_negatives(cover_tree.candidates(embeddings))
+
+
+def op13_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return bit_codes.nearest(bit_codes.participants(embeddings))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_vote": op1_quality_vote,
     "op2_bilinear_lm": op2_bilinear_lm,
@@ -90,6 +110,9 @@ QUERIES: dict[str, Query] = {
     "op8_mix": op8_mix,
     "op9_previous_factor": op9_previous_factor,
     "op10_token_cache": op10_token_cache,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_cover_tree": op12_cover_tree,
+    "op13_bit_codes": op13_bit_codes,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -156,8 +179,71 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 )
 
+# The unsigned CRC-32 of a conversation's number: eight steps a bit at a time for each character.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), CAST(range(8) AS BIGINT[])),
+                               lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+TRIE_SQL = (
+    r"""
+WITH said AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, md5(len(role) || ':' || role || text)) AS s
+  FROM said GROUP BY conv_id),
+heads AS (SELECT conv_id, s, CAST("""
+    + _CRC
+    + r""" % 4 AS BIGINT) AS h FROM convs),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(list_slice(coalesce(f.s, []), 1, h), list_slice(c.s, h + 1, len(c.s))) AS s
+  FROM heads AS c LEFT JOIN convs AS f ON f.conv_id = c.conv_id - c.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, len(s) AS n, d, list_slice(s, 1, d) AS p FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d) AS ends
+  FROM prefixes GROUP BY p, d),
+kids AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+valued AS (
+  SELECT p, d, n_children IS NULL AS leaf,
+         CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(p[d].text, '[^ 	-]+')) END AS saved
+  FROM nodes LEFT JOIN kids USING (p)),
+below AS (
+  SELECT list_slice(p, 1, k) AS p, CAST(count(*) FILTER (leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM valued) GROUP BY ALL)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes AS n JOIN below USING (p) LEFT JOIN kids USING (p)
+LEFT JOIN nodes AS u ON n.d > 0 AND u.d = n.d - 1 AND u.p = list_slice(n.p, 1, n.d - 1)
+"""
+)
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives AS p JOIN scored AS n
+  ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
 #: The other queries hold models or similarity joins; tests compare them with brute force.
 ORACLE_SQL: dict[str, str] = {
     "op7_decontaminate": DECONTAMINATE_SQL,
     "op8_mix": MIX_SQL,
+    "op11_prefix_trie": TRIE_SQL,
+    "op12_cover_tree": NEGATIVES_SQL,
 }
