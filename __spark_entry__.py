@@ -7,11 +7,13 @@ the JSON text, and ``stream_*`` run the real jobs over files and read back the t
 
 from __future__ import annotations
 
-import importlib.util
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -23,13 +25,13 @@ from kerbstone.operators.dimensions import build_dimension
 from kerbstone.operators.facts import build_fact
 from kerbstone.operators.routing import quarantine_rows, valid_rows
 from kerbstone.operators.silver import enriched, to_silver, typed, validated
-from kerbstone.session import use_jit_sized_methods
 from kerbstone.sinks.catalog import register_tables
-from kerbstone.sinks.lakehouse import BatchId, Lakehouse
+from kerbstone.sinks.lakehouse import BATCH, BatchId, Lakehouse
 from kerbstone.sources import streams
 from event_feed import bronze_rows, sensor_messages
 from kerbstone.streaming.bronze_job import start_bronze
-from kerbstone.streaming.silver_gold_job import SilverGoldJob
+from kerbstone.streaming.progress import BatchLog
+from kerbstone.streaming.silver_gold_job import GOLD, JOB, MoreColumns, SilverGoldJob
 from kerbstone.streaming.triggers import BACKLOG_THEN_STOP
 import oracle_queries
 
@@ -90,61 +92,230 @@ def _scratch(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="kerbstone-")
 
 
-def _two_batches(spark: SparkSession, path: str) -> dict[str, str]:
-    """Source option that splits a folder of files into two micro-batches."""
-    files = len(spark.read.parquet(path).inputFiles())
-    return {"maxFilesPerTrigger": str(-(-files // 2))}
+# Streams get their input in two deals, one after the other, by a column of the events: rows that
+# are there when a stream starts, and rows that are appended between two runs on one checkpoint.
+DEALS = 2
 
 
-def _stream_bronze(spark: SparkSession, sf_dir: str) -> Lakehouse:
-    """Land the messages as files and stream them into bronze."""
+def _deal(spark: SparkSession, sf_dir: str, deal: int) -> DataFrame:
+    return _events(spark, sf_dir).where(F.col("event_id") % DEALS == deal)
+
+
+def _stream_bronze(spark: SparkSession, sf_dir: str) -> Iterator[Lakehouse]:
+    """Land the messages as files and stream them into bronze, deal by deal."""
     base = _scratch(spark)
-    landing = f"{base}/landing"
-    _messages(spark, sf_dir).write.parquet(landing)
-    tables = Lakehouse(f"{base}/lake")
-    messages = streams.file_messages(spark, landing, **_two_batches(spark, landing))
-    start_bronze(messages, tables, BACKLOG_THEN_STOP).awaitTermination()
+    landing, tables = f"{base}/landing", Lakehouse(f"{base}/lake")
+    for deal in range(DEALS):
+        sensor_messages(_deal(spark, sf_dir, deal)).write.mode("append").parquet(landing)
+        start_bronze(streams.file_messages(spark, landing), tables, BACKLOG_THEN_STOP).awaitTermination()
+        yield tables
+
+
+def _append_bronze(spark: SparkSession, sf_dir: str) -> Iterator[Lakehouse]:
+    """A bronze table that grows by plain appends, deal by deal."""
+    tables = Lakehouse(f"{_scratch(spark)}/lake")
+    for deal in range(DEALS):
+        bronze_rows(_deal(spark, sf_dir, deal)).write.mode("append").parquet(tables.bronze)
+        yield tables
+
+
+def _run(spark: SparkSession, tables: Lakehouse, **settings) -> None:
+    """Work off what bronze holds by now and stop."""
+    job = SilverGoldJob(spark, tables, **settings)
+    job.start(streams.bronze_rows(spark, tables.bronze), BACKLOG_THEN_STOP).awaitTermination()
+
+
+def _stream_all(spark: SparkSession, sf_dir: str, **settings) -> Lakehouse:
+    """Both jobs, bronze and silver-gold, by turns."""
+    for tables in _stream_bronze(spark, sf_dir):
+        _run(spark, tables, **settings)
     return tables
 
 
-def _stream_all(spark: SparkSession, sf_dir: str) -> Lakehouse:
-    tables = _stream_bronze(spark, sf_dir)
-    bronze = streams.bronze_rows(spark, tables.bronze, **_two_batches(spark, tables.bronze))
-    SilverGoldJob(spark, tables, only_new_dimension_rows=True).start(
-        bronze, BACKLOG_THEN_STOP
-    ).awaitTermination()
+def _stream_refined(spark: SparkSession, sf_dir: str, **settings) -> Lakehouse:
+    """The silver-gold job alone over a growing bronze table."""
+    for tables in _append_bronze(spark, sf_dir):
+        _run(spark, tables, **settings)
     return tables
 
 
-def _streamed(table: Callable[[Lakehouse], str], drop: str = "") -> Query:
+def _streamed(table: Callable[[Lakehouse], str], *gold: str, drop: str = "") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = _stream_all(spark, sf_dir)
+        tables = _stream_refined(spark, sf_dir, gold=gold)
         return tables.read(spark, table(tables)).drop(drop)
 
     return query
 
 
+def _whole_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _stream_all(spark, sf_dir)
+    return tables.read(spark, tables.gold("fact_traffic_event"))
+
+
 def _bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _stream_bronze(spark, sf_dir)
+    *_, tables = _stream_bronze(spark, sf_dir)
     return spark.read.schema(streams.BRONZE_SCHEMA).parquet(tables.bronze)
 
 
+def _appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which batch brought a silver row: the rows that were there first, then the appended ones."""
+    tables = _stream_refined(spark, sf_dir, gold=())
+    return tables.read(spark, tables.silver, with_batch=True).select("event_id", F.col(BATCH).alias("batch"))
+
+
+def _dimension_rows(spark: SparkSession, tables: Lakehouse) -> DataFrame:
+    """All stored dimension rows, with all attributes and the number of their batch."""
+    whole: DataFrame | None = None
+    for name, dimension in rules.DIMENSIONS.items():
+        rows = tables.read(spark, tables.gold(name), with_batch=True).select(
+            F.lit(name).alias("table_name"), F.col(BATCH).alias("batch"), F.col(dimension.key).alias("key"), *dimension.attributes
+        )
+        whole = whole.unionByName(rows, allowMissingColumns=True) if whole else rows
+    return whole
+
+
 def _dimension_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which keys each dimension table holds, once per stored row."""
-    tables = _stream_all(spark, sf_dir)
-    parts = [
-        tables.read(spark, tables.gold(name)).select(
-            F.lit(name).alias("table_name"), F.col(dimension.key).alias("key")
+    """Which keys each dimension table holds, once per stored row, when each is stored once."""
+    tables = _stream_refined(spark, sf_dir, gold=tuple(rules.DIMENSIONS), only_new_dimension_rows=True)
+    return _dimension_rows(spark, tables).select("table_name", "key")
+
+
+def _streamed_dimensions(only_new: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _dimension_rows(
+            spark, _stream_refined(spark, sf_dir, gold=tuple(rules.DIMENSIONS), only_new_dimension_rows=only_new)
         )
-        for name, dimension in rules.DIMENSIONS.items()
-    ]
-    return _union(parts)
+
+    return query
+
+
+# Columns that the second deal's job brings to tables that evolve.
+_DAY_PART = "case when event_hour_clean between 6 and 21 then 'DAY' else 'NIGHT' end"
+_MORE = MoreColumns(
+    silver={"day_part": _DAY_PART},
+    quarantine={"payload_chars": "length(raw_json)"},
+    dimensions={"dim_time": ("day_part",)},
+)
+
+
+def _evolving(spark: SparkSession, sf_dir: str, before_second: Callable[[Lakehouse], None] | None = None) -> Lakehouse:
+    """A stream that is stopped, and started again by a job with more columns."""
+    for deal, tables in enumerate(_append_bronze(spark, sf_dir)):
+        if deal and before_second:
+            before_second(tables)
+        _run(spark, tables, gold=("dim_time",), more=_MORE if deal else MoreColumns())
+    return tables
+
+
+def _evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all batches, read by path with the columns that the later ones brought."""
+    tables = _evolving(spark, sf_dir)
+    read = lambda path, key, column: tables.read(spark, path).select(
+        F.lit(path.rsplit("/", 1)[1]).alias("table_name"), F.col(key).alias("key"), F.col(column).cast("string").alias("added")
+    )
+    return _union([
+        read(tables.silver, "event_id", "day_part"),
+        read(tables.quarantine, "raw_json", "payload_chars"),
+        read(tables.gold("dim_time"), "time_key", "day_part"),
+    ])
+
+
+def _evolved_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table through the catalog: columns by name before and after registering again."""
+    with _database(spark) as (database, location):
+        seen: list[int] = []
+
+        def register(tables: Lakehouse) -> None:
+            register_tables(spark, tables, database, location, ("dim_time",))
+            seen.append(len(spark.table(f"{database}.dim_time").columns))
+
+        tables = _evolving(spark, sf_dir, before_second=register)
+        spark.catalog.refreshTable(f"{database}.dim_time")
+        seen.append(len(spark.table(f"{database}.dim_time").columns))
+        register(tables)
+        rows = spark.sql(f"SELECT time_key, event_hour_clean, day_part FROM {database}.dim_time")
+    first, without_registering, again = seen
+    return rows.select(
+        "*", F.lit(without_registering - first).alias("new_before"), F.lit(again - first).alias("new_after")
+    )
+
+
+STOP_AFTER = 5  # tables of a batch
+
+
+def _restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eleven tables' rows after a stream that was stopped in the middle of each batch."""
+    stopped: dict[int, int] = {}
+
+    def stop(table: str, batch: BatchId) -> None:
+        stopped[batch.number] = stopped.get(batch.number, 0) + 1
+        if stopped[batch.number] == STOP_AFTER:
+            raise RuntimeError(f"stopped after {table}")
+
+    for tables in _append_bronze(spark, sf_dir):
+        try:
+            _run(spark, tables, on_written=stop)
+        except StreamingQueryException as e:
+            if "stopped after" not in str(e):
+                raise
+        else:
+            raise AssertionError("the stream was not stopped")
+        _run(spark, tables)
+    ids = {"traffic_silver": (tables.silver, "event_id"), "traffic_quarantine": (tables.quarantine, "raw_json")}
+    ids |= {name: (tables.gold(name), d.key) for name, d in rules.DIMENSIONS.items()}
+    ids |= {name: (tables.gold(name), "event_id") for name in rules.FACTS}
+    return _union([
+        tables.read(spark, path).groupBy(F.lit(name).alias("table_name"), F.col(key).alias("key")).agg(F.count("*").alias("n"))
+        for name, (path, key) in ids.items()
+    ])
+
+
+def _batch_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an empty batch, one without and one with faulty rows counted and wrote, from the job's log."""
+    tables = Lakehouse(f"{_scratch(spark)}/lake")
+    batch_log = BatchLog(spark, tables, JOB)
+    first, second = (bronze_rows(_deal(spark, sf_dir, deal)) for deal in range(DEALS))
+    for rows in (first.limit(0), valid_rows(first), second):
+        rows.write.mode("append").parquet(tables.bronze)
+        _run(spark, tables, on_batch=batch_log.add)
+    return batch_log.rows().select(
+        F.col("batch").cast("int").alias("batch"), "rows", "quarantined", F.explode_outer("tables").alias("table_name")
+    )
+
+
+def _processing_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a batch's rows carry one time, whatever table they went to, from within its run."""
+    runs: list[tuple[int, datetime, datetime]] = []
+    for deal, tables in enumerate(_append_bronze(spark, sf_dir)):
+        start = datetime.now(timezone.utc)
+        _run(spark, tables, gold=())
+        runs.append((deal, start, datetime.now(timezone.utc)))
+    times = _union([
+        tables.read(spark, path, with_batch=True).select(F.col(BATCH).alias("batch"), F.col(column).alias("at"))
+        for path, column in ((tables.silver, "silver_processed_at"), (tables.quarantine, "quarantined_at"))
+    ])
+    ran = spark.createDataFrame(runs, "batch int, started timestamp, ended timestamp")
+    each = times.groupBy("batch").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("n"))
+    return each.join(ran, "batch").select(
+        "batch", "n", (F.col("first") == F.col("last")).alias("one_time"),
+        ((F.col("started") <= F.col("first")) & (F.col("last") <= F.col("ended"))).alias("in_run"),
+    )
+
+
+@contextmanager
+def _database(spark: SparkSession) -> Iterator[tuple[str, str]]:
+    """Name and place of a database that is dropped afterwards; plans over its tables stay valid."""
+    before, database = spark.catalog.currentDatabase(), f"traffic_{uuid.uuid4().hex}"
+    try:
+        yield database, f"{_scratch(spark)}/db"
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
 def _registered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the nine gold tables, read by name through the catalog."""
-    base = _scratch(spark)
-    tables = Lakehouse(f"{base}/lake")
+    tables = Lakehouse(f"{_scratch(spark)}/lake")
     # Settled once, as in the streaming job: gold reads the silver files.
     batch = BatchId("whole", 0)
     silver = _silver(spark, sf_dir)
@@ -152,18 +323,16 @@ def _registered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SilverGoldJob(spark, tables).write_gold(
         tables.read_batch(spark, tables.silver, batch, silver.schema), batch
     )
-    before = spark.catalog.currentDatabase()
-    database = f"traffic_{uuid.uuid4().hex}"
-    names = register_tables(spark, tables, database, f"{base}/db")
-    spark.catalog.setCurrentDatabase(before)
-    return _union(
-        [
-            spark.table(f"{database}.{name}").agg(
-                F.lit(name).alias("table_name"), F.count("*").alias("n")
-            )
-            for name in names
-        ]
-    )
+    with _database(spark) as (database, location):
+        names = register_tables(spark, tables, database, location)
+        return _union(
+            [
+                spark.table(f"{database}.{name}").agg(
+                    F.lit(name).alias("table_name"), F.count("*").alias("n")
+                )
+                for name in names
+            ]
+        )
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -198,14 +367,17 @@ def _fact(name: str) -> Query:
 
 
 def _comparable(query: Query) -> Query:
-    """Pin what results depend on, and show timestamps as UTC wall-clock times."""
+    """Pin the time zone that results depend on, and show timestamps as UTC wall-clock times."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zone = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        use_jit_sized_methods(spark)  # deriving the event fields makes all plans wide
-        rows = query(spark, sf_dir)
-        zoned = [f.name for f in rows.schema.fields if isinstance(f.dataType, TimestampType)]
-        return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
+        try:
+            rows = query(spark, sf_dir)
+            zoned = [f.name for f in rows.schema.fields if isinstance(f.dataType, TimestampType)]
+            return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
+        finally:  # a plan keeps the zone it was made with
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     return run
 
@@ -251,10 +423,18 @@ def queries() -> dict[str, Query]:
         "stream_quarantine": lambda s, d: _streamed(lambda t: t.quarantine)(s, d).select(
             "raw_json", "kafka_timestamp", "quarantine_reason"
         ),
-        "stream_silver": _streamed(lambda t: t.silver, "silver_processed_at"),
-        "stream_silver_gold": _streamed(lambda t: t.gold("fact_traffic_event")),
-        "stream_fact_incident": _streamed(lambda t: t.gold("fact_incident")),
+        "stream_silver": _streamed(lambda t: t.silver, drop="silver_processed_at"),
+        "stream_silver_gold": _whole_stream,
+        "stream_fact_incident": _streamed(lambda t: t.gold("fact_incident"), "fact_incident"),
         "stream_dimensions": _dimension_keys,
+        "stream_dimension_rows": _streamed_dimensions(only_new=False),
+        "stream_new_dimension_rows": _streamed_dimensions(only_new=True),
+        "stream_appended": _appended,
+        "stream_evolved": _evolved,
+        "register_evolved": _evolved_by_name,
+        "stream_restarted": _restarted,
+        "stream_batch_reports": _batch_reports,
+        "stream_processing_times": _processing_times,
     }
     return {name: _comparable(q) for name, q in all_queries.items()} | _training_data()[0]
 
@@ -264,11 +444,11 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
-    """Queries and SQL of the training-data operators; none where that subpackage is left out."""
-    if not importlib.util.find_spec("kerbstone.llm") or not importlib.util.find_spec("corpus_pipeline"):
+    """Queries and SQL of the training-data operators; none where that subpackage can't be imported."""
+    try:
+        import corpus_pipeline
+        from kerbstone.llm import queries as llm
+    except ImportError:
         return {}, {}
-    import corpus_pipeline
-    from kerbstone.llm import queries as llm
-
     pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return llm.QUERIES | {"pipeline": corpus_pipeline.run}, llm.ORACLE_SQL | pipeline_sql

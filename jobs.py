@@ -3,6 +3,8 @@
     jobs.py --base DIR bronze --servers HOST:PORT [--topic T] [--from earliest]
     jobs.py --base DIR bronze --files DIR            messages from Parquet files
     jobs.py --base DIR silver-gold [--new-dimension-rows-only] [--interval "30 seconds"]
+                       [--gold dim_road,fact_incident] [--silver-column NAME=SQL]
+                       [--quarantine-column NAME=SQL] [--dimension-column TABLE=COLUMN]
     jobs.py --base DIR register [--database Traffic]
 
 ``--once`` works off what is there and stops; without it a stream runs until stopped.
@@ -18,7 +20,8 @@ from kerbstone.sinks.catalog import register_tables
 from kerbstone.sinks.lakehouse import Lakehouse
 from kerbstone.sources import streams
 from kerbstone.streaming.bronze_job import start_bronze
-from kerbstone.streaming.silver_gold_job import SilverGoldJob
+from kerbstone.streaming.progress import BatchLog
+from kerbstone.streaming.silver_gold_job import GOLD, JOB, MoreColumns, SilverGoldJob
 from kerbstone.streaming.triggers import ASAP, BACKLOG_THEN_STOP
 
 
@@ -40,11 +43,23 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     silver_gold = jobs.add_parser("silver-gold")
     silver_gold.add_argument("--interval", default="30 seconds")
     silver_gold.add_argument("--new-dimension-rows-only", action="store_true")
+    silver_gold.add_argument("--gold", default=",".join(GOLD), help="the gold tables to write")
+    for table in ("silver", "quarantine", "dimension"):
+        silver_gold.add_argument(f"--{table}-column", action="append", default=[], metavar="NAME=VALUE",
+                                 help=f"a further column of {table} tables")
     register = jobs.add_parser("register")
     register.add_argument("--database", default="Traffic")
     return parser.parse_args(argv)
 
 
+def _more_columns(args: argparse.Namespace) -> MoreColumns:
+    pairs = lambda given: [text.split("=", 1) for text in given]
+    dimensions: dict[str, tuple[str, ...]] = {}
+    for table, column in pairs(args.dimension_column):
+        dimensions[table] = (*dimensions.get(table, ()), column)
+    return MoreColumns(dict(pairs(args.silver_column)), dict(pairs(args.quarantine_column)), dimensions)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     logging.basicConfig(level=logging.INFO)
@@ -65,7 +80,10 @@ def main(argv: list[str] | None = None) -> None:
     else:
         trigger = BACKLOG_THEN_STOP if args.once else {"processingTime": args.interval}
         bronze = streams.bronze_rows(spark, tables.bronze, tables.fmt, **options)
-        job = SilverGoldJob(spark, tables, args.new_dimension_rows_only)
+        job = SilverGoldJob(
+            spark, tables, args.new_dimension_rows_only, gold=tuple(filter(None, args.gold.split(","))),
+            more=_more_columns(args), on_batch=BatchLog(spark, tables, JOB).add,
+        )
         job.start(bronze, trigger).awaitTermination()
 
 

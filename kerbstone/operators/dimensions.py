@@ -18,13 +18,13 @@ from kerbstone.functions import keys
 _EARLIEST = "event_time_ts"
 
 
-def build_dimension(silver: DataFrame, name: str) -> DataFrame:
+def build_dimension(silver: DataFrame, name: str, more: tuple[str, ...] = ()) -> DataFrame:
     """Keyed pick as a partial minimum, one exchange, final minimum.
 
-    Every task sends at most one row per key it saw, so a key that holds a third of
+    ``more``: silver columns that are attributes behind the contract's. Every task sends at most one row per key it saw, so a key that holds a third of
     all rows (such as the NULL incident key) costs the exchange no more than others.
     """
-    key, attributes = rules.DIMENSIONS[name].key, rules.DIMENSIONS[name].attributes
+    key, attributes = rules.DIMENSIONS[name].key, (*rules.DIMENSIONS[name].attributes, *more)
     ranked = (f"{_EARLIEST} is null", _EARLIEST, *(a for a in attributes if a != _EARLIEST))
     picked = silver.groupBy(F.expr(keys.key_text(key)).alias("key_text")).agg(
         F.expr(f"min(struct({', '.join(ranked)}))").alias("row")

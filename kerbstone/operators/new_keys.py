@@ -10,9 +10,10 @@ def only_new_keys(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
 
     Two joins instead of one anti-join: an anti-join can only broadcast its right side,
     the table that grows for ever. The semi-join has the batch on its right, so stored
-    keys are filtered where they are read while the batch is small enough to broadcast
-    (AQE decides by its measured size), and what reaches the anti-join is bounded by the
-    batch. Beyond that size both run as shuffled joins.
+    keys are filtered where they are read if the planner estimates the batch to be small
+    enough to broadcast, and what reaches the anti-join is bounded by the batch. Beyond that
+    both run as shuffled joins. ``rows`` is read twice: give stored rows, not a plan that
+    computes them, and of ``stored`` only the buckets that the batch has.
     """
     batch_keys = rows.select(rows[key].alias("batch_key"))
     stored_keys = stored.select(stored[key].alias("stored_key"))

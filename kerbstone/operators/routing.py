@@ -30,8 +30,12 @@ def valid_rows(bronze: DataFrame) -> DataFrame:
     return bronze.filter(~is_faulty())
 
 
-def quarantine_rows(bronze: DataFrame) -> DataFrame:
-    """The exact complement of :func:`valid_rows`, whole rows with reason and time."""
-    return bronze.filter(is_faulty()).withColumns(
-        {"quarantine_reason": quarantine_reason(), "quarantined_at": F.current_timestamp()}
+def quarantine_rows(bronze: DataFrame, at: Column | None = None, more: dict[str, str] | None = None) -> DataFrame:
+    """The exact complement of :func:`valid_rows`, whole rows with reason and time.
+
+    ``at`` and ``more`` as for silver.
+    """
+    rows = bronze.filter(is_faulty()).withColumns(
+        {"quarantine_reason": quarantine_reason(), "quarantined_at": F.current_timestamp() if at is None else at}
     )
+    return rows.withColumns({name: F.expr(sql) for name, sql in (more or {}).items()})

@@ -43,7 +43,6 @@ def derived_columns() -> dict[str, Column]:
         ),
         **enrichment.time_parts(F.col("event_time_ts")),
         "weather_severity": enrichment.weather_severity(F.col("weather")),
-        "silver_processed_at": F.current_timestamp(),
     }
 
 
@@ -59,6 +58,11 @@ def enriched(validated_rows: DataFrame) -> DataFrame:
     return validated_rows.withColumns(derived_columns())
 
 
-def to_silver(valid: DataFrame) -> DataFrame:
+def to_silver(valid: DataFrame, at: Column | None = None, more: dict[str, str] | None = None) -> DataFrame:
+    """Silver rows, processed ``at`` that time, by default when they are read.
+
+    ``more``: further columns behind the contract's, as SQL over bronze and silver columns.
+    """
     rows = valid.transform(typed).transform(validated).transform(enriched)
-    return rows.select(*rules.SILVER_COLUMNS)
+    rows = rows.withColumn("silver_processed_at", F.current_timestamp() if at is None else at)
+    return rows.select(*rules.SILVER_COLUMNS, *(F.expr(sql).alias(name) for name, sql in (more or {}).items()))

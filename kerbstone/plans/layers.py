@@ -23,8 +23,8 @@ def refine(bronze: DataFrame) -> Refined:
     return Refined(to_silver(valid_rows(bronze)), quarantine_rows(bronze))
 
 
-def dimensions(silver: DataFrame) -> dict[str, DataFrame]:
-    return {name: build_dimension(silver, name) for name in rules.DIMENSIONS}
+def dimensions(silver: DataFrame, more: dict[str, tuple[str, ...]] | None = None) -> dict[str, DataFrame]:
+    return {name: build_dimension(silver, name, (more or {}).get(name, ())) for name in rules.DIMENSIONS}
 
 
 def facts(silver: DataFrame) -> dict[str, DataFrame]:

@@ -16,8 +16,9 @@ def register_tables(
     tables: Lakehouse,
     database: str = "Traffic",
     database_location: str | None = None,
+    names: tuple[str, ...] = (*rules.DIMENSIONS, *rules.FACTS),
 ) -> list[str]:
-    """Create and use the database, and register every gold table by its location.
+    """Create and use the database, and register the gold tables by their locations.
 
     Existing objects stay, and evolving tables gain the columns that batches have brought
     since: register again to see them. Bronze, silver and quarantine stay unregistered.
@@ -28,7 +29,6 @@ def register_tables(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
     spark.catalog.setCurrentDatabase(database)
     options = "" if tables.fmt == "delta" else "OPTIONS (recursiveFileLookup 'true') "
-    names = [*rules.DIMENSIONS, *rules.FACTS]
     for name in names:
         schema = None if tables.is_delta else tables.schema(spark, tables.gold(name))
         columns = f"({_ddl(schema)}) " if schema else ""
@@ -41,7 +41,7 @@ def register_tables(
         if added:
             spark.sql(f"ALTER TABLE {database}.{name} ADD COLUMNS ({_ddl(added)})")
         spark.catalog.refreshTable(f"{database}.{name}")  # no listing of files is kept
-    return names
+    return list(names)
 
 
 def _ddl(fields: Iterable[StructField]) -> str:

@@ -10,11 +10,12 @@ MESSAGE_SCHEMA = "value BINARY, timestamp TIMESTAMP"
 # What one micro-batch takes of a backlog at most, unless an option sets another bound.
 KAFKA_BOUND = {"maxOffsetsPerTrigger": "50000000"}
 FILE_BOUND = {"maxBytesPerTrigger": str(64 << 30)}
+_BOUNDING = {"maxoffsetspertrigger", "maxbytespertrigger", "maxfilespertrigger"}
 BRONZE_SCHEMA = f"raw_json STRING, kafka_timestamp TIMESTAMP, {rules.EVENT_SCHEMA}"
 
 
 def _bounded(options: dict[str, str], bound: dict[str, str]) -> dict[str, str]:
-    return options if any(o.lower().startswith("max") for o in options) else bound | options
+    return options if any(o.lower() in _BOUNDING for o in options) else bound | options
 
 
 def kafka_messages(

@@ -45,3 +45,21 @@ def test_delta_session_and_idempotent_append():
     writer.option.assert_not_called()
     Lakehouse("/b", "delta").write_batch(rows, "/b/t", BatchId("s", 3), evolve=True)
     writer.option.assert_called_once_with("mergeSchema", "true")
+
+
+@pytest.mark.parametrize("options, bounded", [
+    ({}, True), ({"maxFileAge": "7d"}, True), ({"maxCachedFiles": "5"}, True),
+    ({"maxFilesPerTrigger": "3"}, False), ({"MAXBYTESPERTRIGGER": "1g"}, False), ({"maxOffsetsPerTrigger": "9"}, False),
+])
+def test_only_a_bound_replaces_the_default_bound(options, bounded):
+    assert (streams._bounded(options, streams.FILE_BOUND).keys() >= streams.FILE_BOUND.keys()) is bounded
+
+
+def test_more_columns_from_the_command_line():
+    args = jobs._arguments([
+        "--base", "b", "silver-gold", "--gold", "dim_road", "--silver-column", "fast=speed_kmh = 99",
+        "--quarantine-column", "n=length(raw_json)", "--dimension-column", "dim_road=fast", "--dimension-column", "dim_road=n",
+    ])
+    more = jobs._more_columns(args)
+    assert (more.silver, more.quarantine) == ({"fast": "speed_kmh = 99"}, {"n": "length(raw_json)"})
+    assert more.dimensions == {"dim_road": ("fast", "n")} and args.gold == "dim_road"

@@ -4,15 +4,16 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from compare import sorted_rows
+from compare import plan_text, sorted_rows
 from kerbstone import rules
 from kerbstone.operators.bronze import to_bronze
 from kerbstone.plans.layers import gold, refine
-from kerbstone.sinks.lakehouse import BatchId, Lakehouse
+from kerbstone.sinks.lakehouse import BUCKET, BUCKETS, BatchId, Lakehouse
 from kerbstone.sources import streams
 from kerbstone.streaming.bronze_job import start_bronze
-from kerbstone.streaming.silver_gold_job import SilverGoldJob
-from kerbstone.streaming.triggers import BACKLOG_THEN_STOP
+from kerbstone.streaming.progress import BatchLog, batch_starts
+from kerbstone.streaming.silver_gold_job import JOB, MoreColumns, SilverGoldJob
+from kerbstone.streaming.triggers import ASAP, BACKLOG_THEN_STOP
 
 
 def _run(query):
@@ -172,3 +173,132 @@ def test_reading_without_a_batch(spark, tmp_path):
         tables.write_batch(rows, path, batch)
     assert tables.read_without(spark, path, BatchId("s", 1)).count() == 2
     assert tables.read(spark, path).columns == ["a"]
+
+
+# --- dimensions that hold each key once ---------------------------------------------------
+
+
+def _keys(n, start=0):
+    return [{"event_id": f"E{i}", "vehicle_id": f"V{i}"} for i in range(start, start + n)]
+
+
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, make_bronze, tmp_path):
+    tables = Lakehouse(str(tmp_path))
+    job = SilverGoldJob(spark, tables, only_new_dimension_rows=True, gold=("dim_vehicle",))
+    job.process(make_bronze(*_keys(300)), BatchId("s", 0))
+    path, batch = tables.gold("dim_vehicle"), BatchId("s", 1)
+    assert tables.read_without(spark, path, batch).select(BUCKET).distinct().count() > BUCKETS / 2
+    silver = tables.read(spark, tables.silver)
+    rows = refine(make_bronze(*_keys(2, 299))).silver
+    aggregated = gold(rows)["dim_vehicle"]
+    assert plan_text(aggregated).count("Exchange") == 2  # once in the tree, once in the details
+    new = job.new_rows("dim_vehicle", aggregated, batch)
+    assert [r["vehicle_id"] for r in new.collect()] == ["V300"]
+    scans = plan_text(new).split("Scan parquet")
+    stored = [s for s in scans if "traffic_gold/dim_vehicle" in s.split("ReadSchema")[0] and "PartitionFilters" in s]
+    assert stored and all(f"{BUCKET}#" in s.split("PartitionFilters")[1].split("\n")[0] for s in stored)
+    assert all("min(struct" not in s for s in scans) and "min(" not in plan_text(new)  # aggregated once, before
+    assert silver.count() == 300
+
+
+def test_a_table_keeps_the_layout_it_was_begun_with(spark, make_bronze, tmp_path):
+    plain, by_key = Lakehouse(str(tmp_path / "plain")), Lakehouse(str(tmp_path / "by_key"))
+    for tables, first in ((plain, False), (by_key, True)):
+        for number, only_new in enumerate((first, not first, True)):
+            again = Lakehouse(tables.base)  # as after a restart
+            SilverGoldJob(spark, again, only_new_dimension_rows=only_new).process(make_bronze(*_keys(5 + number)), BatchId("s", number))
+        stored = tables.read(spark, tables.gold("dim_vehicle"))
+        assert stored.columns == [rules.DIMENSIONS["dim_vehicle"].key, *rules.DIMENSIONS["dim_vehicle"].attributes]
+        assert sorted(r[0] for r in stored.select("vehicle_id").collect()) == sorted(
+            {False: ["V0", "V1", "V2", "V3", "V4", "V5", "V6"], True: [*(f"V{i}" for i in range(5)), *(f"V{i}" for i in range(6)), "V6"]}[first]
+        )
+    assert (tmp_path / "plain/traffic_gold/dim_vehicle/stream_id=s/batch_id=0").is_dir()
+    assert list((tmp_path / "by_key/traffic_gold/dim_vehicle/stream_id=s").glob(f"batch_id=*/{BUCKET}=*"))
+
+
+def test_null_keys_are_stored_once(spark, make_bronze, tmp_path):
+    tables = Lakehouse(str(tmp_path))
+    job = SilverGoldJob(spark, tables, only_new_dimension_rows=True, gold=("dim_incidentdet",))
+    for number in range(3):
+        job.process(make_bronze({"incident_id": None}, {"incident_id": f"I{number}"}), BatchId("s", number))
+    stored = [r[0] for r in tables.read(spark, tables.gold("dim_incidentdet")).select("incident_key").collect()]
+    assert sorted(stored, key=str) == ["I0", "I1", "I2", None]
+
+
+# --- progress, triggers, stops --------------------------------------------------------------
+
+
+def test_reports_say_what_a_batch_counted_and_wrote(spark, make_bronze, tmp_path):
+    tables = Lakehouse(str(tmp_path))
+    batches = BatchLog(spark, tables, JOB)
+    assert batches.rows().count() == 0
+    job = SilverGoldJob(spark, tables, gold=("dim_payment", "fact_incident"), on_batch=batches.add)
+    job.process(make_bronze({}).limit(0), BatchId("s", 0))
+    job.process(make_bronze({}, {"event_id": "E2"}), BatchId("s", 1))
+    for _ in range(2):  # a replay is reported once
+        job.process(make_bronze({}, {"sensor_id": None}), BatchId("s", 2))
+    found = {r["batch"]: (r["rows"], r["quarantined"], sorted(r["tables"])) for r in batches.rows().collect()}
+    some = ["dim_payment", "fact_incident"]
+    assert found == {0: (0, 0, []), 1: (2, 0, [*some, "traffic_silver"]), 2: (2, 1, [*some, "traffic_quarantine", "traffic_silver"])}
+
+
+@pytest.mark.parametrize("seconds", [3, 5, None])
+def test_batches_start_when_the_trigger_says(spark, bronze, tmp_path, seconds):
+    """By the clock of the query's own records: every so many seconds, or one upon the other."""
+    source, tables = str(tmp_path / "bronze"), Lakehouse(str(tmp_path / "lake"))
+    bronze.limit(40).repartition(4).write.parquet(source)
+    stream = streams.bronze_rows(spark, source, maxFilesPerTrigger="1")
+    trigger = {"processingTime": f"{seconds} seconds"} if seconds else ASAP
+    query = SilverGoldJob(spark, tables, gold=()).start(stream, trigger)
+    try:
+        query.processAllAvailable()
+        starts = [at.timestamp() for _, at in sorted(batch_starts(query).items())]
+        ends = [at + p.durationMs["triggerExecution"] / 1000 for at, p in zip(starts, (p for p in query.recentProgress if p.numInputRows))]
+    finally:
+        query.stop()
+    assert len(starts) == 4
+    for before, end, at in zip(starts, ends, starts[1:]):
+        # At the next whole multiple of the interval, or at once where the batch took longer.
+        due = (before // seconds + 1) * seconds if seconds else end
+        assert abs(at - max(due, end)) < 0.5
+
+
+def test_a_hook_that_raises_stops_the_batch_and_a_restart_completes_it(spark, lake, tmp_path):
+    base = str(tmp_path)
+    seen: list[str] = []
+
+    def stop(table, batch):
+        seen.append(table)
+        if len(seen) == 4:
+            raise RuntimeError("enough")
+
+    with pytest.raises(StreamingQueryException, match="enough"):
+        _silver_gold(spark, Lakehouse(base), source=lake, on_written=stop, parallel_writes=1).awaitTermination()
+    assert seen == ["traffic_silver", "traffic_quarantine", "dim_vehicle", "dim_road"]
+    _run(_silver_gold(spark, Lakehouse(base), source=lake))
+    assert _contents(spark, Lakehouse(base)) == _contents(spark, lake)
+
+
+def test_one_time_for_all_rows_of_a_batch(spark, bronze, tmp_path):
+    tables = Lakehouse(str(tmp_path))
+    report = SilverGoldJob(spark, tables, gold=()).process(bronze, BatchId("s", 0))
+    times = tables.read(spark, tables.silver).select("silver_processed_at").distinct().collect()
+    times += tables.read(spark, tables.quarantine).select("quarantined_at").distinct().collect()
+    assert len(times) == 2 and len({t[0] for t in times}) == 1
+    assert times[0][0].timestamp() == pytest.approx(report.processed_at.timestamp(), abs=1e-5)
+
+
+def test_later_columns_reach_silver_quarantine_and_dimensions(spark, make_bronze, tmp_path):
+    tables = Lakehouse(str(tmp_path))
+    more = MoreColumns({"fast": "speed_kmh > 50"}, {"size": "length(event_time)"}, {"dim_vehicle": ("fast",)})
+    for number, columns in enumerate((MoreColumns(), more)):
+        job = SilverGoldJob(spark, tables, only_new_dimension_rows=True, more=columns)
+        job.process(make_bronze({"vehicle_id": f"V{number}"}, {"sensor_id": None}), BatchId("s", number))
+    assert [r[0] for r in tables.read(spark, tables.silver).orderBy("vehicle_id").select("fast").collect()] == [None, True]
+    assert [r[0] for r in tables.read(spark, tables.gold("dim_vehicle")).orderBy("vehicle_id").select("fast").collect()] == [None, True]
+    assert sorted(str(r[0]) for r in tables.read(spark, tables.quarantine).select("size").collect()) == ["25", "None"]
+
+
+def test_a_missing_table_is_no_error_in_the_log(spark, make_bronze, tmp_path, capfd):
+    SilverGoldJob(spark, Lakehouse(str(tmp_path))).process(make_bronze({}), BatchId("s", 0))
+    assert "PATH_NOT_FOUND" not in capfd.readouterr().err
