@@ -1,10 +1,11 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
-A document that contains an item's window contains the window's rarest word, so that word is
-the only prefix token a window has to be joined by. Rarity is the word's count over all
-documents. Word positions of the documents are joined with the prefix tokens, candidates that
-would stick out at either end are dropped (position and length bounds), and the rest are
-verified word by word against the whole window.
+A window is the list of its shingles, runs of ``SHINGLE`` words (all its words, if it has fewer).
+They are ordered by rarity, their count over all documents. A document that contains a window
+contains all of its shingles, so the prefix of the rarest one is necessary and enough to join
+by. Shingles of the documents are joined with these prefix tokens, candidates that would stick
+out at either end are dropped (position and length bounds), and the rest are verified word by
+word against the whole window.
 
 The windows and prefix tokens are written as tables first: whether they are small enough to
 broadcast is then decided by the planner from their measured size; beyond its threshold the
@@ -25,6 +26,7 @@ from .common import join_rows, join_whole, lower_ascii, settle, text_or_empty, w
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
+SHINGLE = 3
 
 
 def words(text: Column | str = "text") -> Column:
@@ -42,42 +44,50 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return items.select("item_id", F.explode(F.array_distinct(runs)).alias("win")).distinct()
 
 
-def _prefix_tokens(windows: DataFrame, docs: DataFrame) -> DataFrame:
-    """word, win, offset, length: each window under its rarest word."""
-    placed = windows.select("win").distinct().select(
-        "win", F.posexplode(F.split("win", " ")).alias("offset", "word")
-    )
-    vocabulary = settle(placed.select("word").distinct())
+def _shingles(words: str, n: int) -> Column:
+    """The runs of n words of the column ``words`` as (place, shingle), a hash of its words."""
+    run = lambda i: F.xxhash64(*(F.get(F.col(words), i + k) for k in range(n)))
+    placed = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.struct(i.alias("place"), run(i).alias("shingle")))
+    return F.when(F.size(words) >= n, placed)
+
+
+def _document_shingles(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """doc_id, row_key, place, shingle for the runs of each of the ``sizes``."""
+    held = docs.select("doc_id", "row_key", words().alias("w"))
+    runs = [F.coalesce(_shingles("w", n), F.array()) for n in sizes]
+    return held.select("doc_id", "row_key", F.inline(F.concat(*runs) if runs else F.array(F.struct(F.lit(0).alias("place"), F.lit(0).cast("long").alias("shingle")))))
+
+
+def _prefix_tokens(windows: DataFrame, docs: DataFrame) -> tuple[DataFrame, list[int]]:
+    """shingle, win, offset, length: each window under its rarest shingle; and the shingles' sizes."""
+    split = windows.select("win").distinct().select("win", F.split("win", " ").alias("w"))
+    sizes = sorted(r[0] for r in split.select(F.least(F.size("w"), F.lit(SHINGLE)).alias("n")).distinct().collect())
+    shingle = F.coalesce(_shingles("w", SHINGLE), *(_shingles("w", n) for n in range(SHINGLE - 1, 0, -1)))
+    placed = split.select("win", F.size("w").alias("length"), F.inline(shingle)).withColumnRenamed("place", "offset")
+    vocabulary = settle(placed.select("shingle").distinct())
     counts = settle(
-        docs.select(F.explode(words()).alias("word"))
-        .join(vocabulary, "word")
-        .groupBy("word")
-        .count()
+        _document_shingles(docs, sizes).select("shingle").join(vocabulary, "shingle").groupBy("shingle").count()
     )
-    return settle(
-        placed.join(counts, "word")
-        .groupBy("win")
-        .agg(
-            F.min(F.struct("count", "word", "offset")).alias("rarest"),
-            (F.max("offset") + 1).alias("length"),
-            F.count("*").alias("found"),
-        )
-        .where(F.col("found") == F.col("length"))  # else a word is in no document
-        .select("rarest.word", "win", "rarest.offset", "length")
+    prefix = settle(
+        placed.join(counts, "shingle")
+        .groupBy("win", "length")
+        .agg(F.min(F.struct("count", "shingle", "offset")).alias("rarest"), F.count("*").alias("found"))
+        # else a shingle is in no document
+        .where(F.col("found") == F.greatest(F.lit(1), F.col("length") - (SHINGLE - 1)))
+        .select("rarest.shingle", "win", "rarest.offset", "length")
     )
+    return prefix, sizes
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, row_key, n_words, n_hit, items (sorted): a row for each row of ``docs``."""
     windows = settle(item_windows(benchmark, window))
     docs = with_row_key(docs.select("doc_id", "text"))
-    prefix = _prefix_tokens(windows, docs)
-    positions = docs.select(
-        "doc_id", "row_key", F.posexplode(words()).alias("position", "word")
-    )
-    start = F.col("position") - F.col("offset")
+    prefix, sizes = _prefix_tokens(windows, docs)
+    start = F.col("place") - F.col("offset")
     candidates = settle(
-        positions.join(prefix, "word")
+        _document_shingles(docs, sizes)
+        .join(prefix, "shingle")
         .where(start >= 0)
         .groupBy("doc_id", "row_key")
         .agg(F.collect_set(F.struct(start.alias("start"), "length", "win")).alias("candidates"))

@@ -1,15 +1,16 @@
 """URL filter: ratio of two character language models, one of accepted and one of rejected URLs.
 
 Both are Markov models of variable order (contexts of 3, 2, 1 and 0 characters, Witten-Bell
-smoothing from the longer to the shorter). They learn from the URLs that the rules decide. A
-URL's score is the difference of its two log-likelihoods divided by its length; the threshold
-is the score that splits the ruled URLs with the least balanced error.
+smoothing from the longer to the shorter). They learn from the URLs that the rules decide, but
+for one in ``HELD_OUT`` by its hash. A URL's score is the difference of its two log-likelihoods
+divided by its length; the threshold is the score that splits the ruled URLs that were held out
+with the least balanced error.
 
 Characters are mapped to 38 symbols, so there are at most 38 ** 4 (2.1 million) rows of four
 characters; that bound is why this table, and nothing else, may be broadcast.
 
 Defined results: NULL URLs and those without ``://`` have empty host and path, fit no rule and
-score 0; an empty table gives an empty result; without ruled URLs of both kinds the threshold
+score 0; an empty table gives an empty result; without held-out URLs of both kinds the threshold
 is 0 and every other URL is allowed; repeated rows get the same result each.
 """
 
@@ -32,6 +33,7 @@ RULES = (
 )
 PLAIN = "abcdefghijklmnopqrstuvwxyz/.-?=&#_:"  # then 0 for digits, ~ for others, ^ for the start
 ORDER = 4
+HELD_OUT = 5
 STEP = 0.01  # of the scores that are tried as threshold
 
 
@@ -66,6 +68,8 @@ def _grams(texts: DataFrame) -> DataFrame:
         "symbols",
         "allow",
         "block",
+        "held_allow",
+        "held_block",
         F.explode(F.transform(starts, lambda i: F.substring("symbols", i, F.lit(ORDER)))).alias("gram"),
     )
 
@@ -116,24 +120,26 @@ def _ratios(grams: DataFrame) -> DataFrame:
 
 
 def _threshold(scores: DataFrame) -> float:
-    """The score with the least mean of the two error rates, from a histogram of the scores."""
+    """The score with the least mean of the two error rates over the URLs held out, from a histogram."""
     bins = (
-        scores.where(F.col("allow") + F.col("block") > 0)
+        scores.where(F.col("held_allow") + F.col("held_block") > 0)
         .groupBy(F.floor(F.greatest(F.lit(-20), F.least(F.lit(20), F.col("score"))) / STEP).alias("bin"))
-        .agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+        .agg(F.sum("held_allow").alias("allow"), F.sum("held_block").alias("block"))
     )
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     error = F.coalesce(F.sum("allow").over(below), F.lit(0)) / F.sum("allow").over(everything) + (
         1 - F.coalesce(F.sum("block").over(below), F.lit(0)) / F.sum("block").over(everything)
     )
+    # Half-way to the next lower score that a held-out URL has.
+    lower = F.coalesce(F.lag("bin").over(Window.orderBy("bin")) + 1, F.col("bin"))
     best = (
-        bins.withColumn("error", error)
+        bins.withColumns({"error": error, "middle": (F.col("bin") + lower) / 2})
         .where("error is not null")
         .orderBy("error", F.abs("bin"), "bin")
         .first()
     )
-    return best["bin"] * STEP if best else 0.0
+    return best["middle"] * STEP if best else 0.0
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
@@ -148,13 +154,12 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
     decided = F.lit(None).cast("string")
     for text, verdict in given.items():
         decided = F.when(F.col("rule") == text, verdict).otherwise(decided)
+    held = F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0
+    kinds = {"allow": ~F.col("held"), "block": ~F.col("held"), "held_allow": F.col("held"), "held_block": F.col("held")}
     texts = settle(
-        ruled.select("symbols", decided.alias("decided"))
+        ruled.select("symbols", decided.alias("decided"), held.alias("held"))
         .groupBy("symbols")
-        .agg(
-            F.count(F.when(F.col("decided") == "allow", 1)).alias("allow"),
-            F.count(F.when(F.col("decided") == "block", 1)).alias("block"),
-        )
+        .agg(*(F.count(F.when((F.col("decided") == k.removeprefix("held_")) & side, 1)).alias(k) for k, side in kinds.items()))
     )
     grams = _grams(texts)
     counts = settle(
@@ -166,8 +171,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
         .groupBy("symbols")
         .agg(
             (F.sum("ratio") / F.count("*")).alias("score"),
-            F.first("allow").alias("allow"),
-            F.first("block").alias("block"),
+            F.first("held_allow").alias("held_allow"),
+            F.first("held_block").alias("held_block"),
         )
     )
     least = _threshold(scores)
