@@ -5,7 +5,7 @@ They are ordered by rarity, their count over all documents. A document that cont
 contains all of its shingles, so the prefix of the rarest one is necessary and enough to join
 by. Shingles of the documents are joined with these prefix tokens, candidates that would stick
 out at either end are dropped (position and length bounds), and the rest are verified word by
-word against the whole window.
+word against the whole window. Texts without candidates are only counted, where they are read.
 
 The windows and prefix tokens are written as tables first: whether they are small enough to
 broadcast is then decided by the planner from their measured size; beyond its threshold the
@@ -27,6 +27,7 @@ from .common import join_rows, join_whole, lower_ascii, settle, text_or_empty, w
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 SHINGLE = 3
+FILTER = 1 << 20
 
 
 def words(text: Column | str = "text") -> Column:
@@ -92,43 +93,38 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         .groupBy("doc_id", "row_key")
         .agg(F.collect_set(F.struct(start.alias("start"), "length", "win")).alias("candidates"))
     )
-    verified = settle(
-        join_rows(docs, candidates)
-        .select(
-            "doc_id",
-            "row_key",
-            words().alias("w"),
-            "candidates",
-        )
-        .select(
-            "doc_id",
-            "row_key",
-            F.size("w").cast("long").alias("n_words"),
-            F.filter(
-                F.coalesce("candidates", F.array()),
-                lambda c: (c["start"] + c["length"] <= F.size("w"))
-                & (F.array_join(F.slice("w", c["start"] + 1, c["length"]), " ") == c["win"]),
-            ).alias("hits"),
-        )
+    # Only texts with candidates travel: others go where they are read, by the occupied ones of
+    # FILTER parts of the keys. That is the most rows this broadcast can have.
+    part = F.pmod("row_key", F.lit(FILTER).cast("long")).cast("int").alias("part")
+    occupied = F.broadcast(candidates.select(part).distinct())
+    suspects = docs.select("*", part).join(occupied, "part", "left_semi").drop("part")
+    hits = F.filter(
+        "candidates",
+        lambda c: (c["start"] + c["length"] <= F.size("w"))
+        & (F.array_join(F.slice("w", c["start"] + 1, c["length"]), " ") == c["win"]),
+    )
+    verified = (
+        join_rows(suspects, candidates, "inner")
+        .select("doc_id", "row_key", words().alias("w"), "candidates")
+        .select("doc_id", "row_key", hits.alias("hits"))
         .select(
             "doc_id",
             "row_key",
-            "n_words",
             _covered("hits").alias("n_hit"),
-            F.array_distinct(F.transform("hits", lambda h: h["win"])).alias("wins"),
+            F.explode(F.array_distinct(F.transform("hits", lambda h: h["win"]))).alias("win"),
         )
     )
-    items = (
-        verified.select("doc_id", "row_key", F.explode("wins").alias("win"))
-        .join(windows, "win")
+    found = settle(
+        verified.join(windows, "win")
         .groupBy("doc_id", "row_key")
-        .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+        .agg(F.max("n_hit").alias("n_hit"), F.array_sort(F.collect_set("item_id")).alias("items"))
     )
-    return join_rows(verified, items).select(
+    counted = docs.select("doc_id", "row_key", F.size(words()).cast("long").alias("n_words"))
+    return join_rows(counted, found).select(
         "doc_id",
         "row_key",
         "n_words",
-        "n_hit",
+        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
