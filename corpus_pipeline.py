@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir), works on all that the stage before it kept, and is
 written as a table in the shared folder before the next one reads it. All but the last keep
 the columns of ``documents``.
+
+Defined results: a NULL, empty or word-less text has no known language and goes at the first stage.
+Rows that repeat doc_id and text get the same decision each, and count as one document where copies
+are looked for; rows without an id stay unless their text decides otherwise. Ties go to the smaller
+doc_id. Further columns may have any names and are kept. Empty tables give an empty result; an
+empty benchmark contaminates nothing.
 """
 
 from __future__ import annotations
