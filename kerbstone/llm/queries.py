@@ -207,7 +207,7 @@ nodes AS (
 kids AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
 valued AS (
   SELECT p, d, n_children IS NULL AS leaf,
-         CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(p[d].text, '[^ 	-]+')) END AS saved
+         CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(p[d].text, '[^\x20\x09-\x0D]+')) END AS saved
   FROM nodes LEFT JOIN kids USING (p)),
 below AS (
   SELECT list_slice(p, 1, k) AS p, CAST(count(*) FILTER (leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens

@@ -103,13 +103,93 @@ def test_language_model_base_counts_and_probabilities(docs, no_docs):
     assert bilinear_lm.score(no_docs).count() == 0
 
 
-def test_noise_contrastive_model_is_normalised_and_learns():
+def test_language_model_scores_are_those_of_its_parameters(docs, monkeypatch):
+    """Every token's probability by plain sums over all outcomes, which add up to 1."""
     import numpy as np
 
-    pairs = np.array([[0, 90, 10], [80, 10, 10], [50, 50, 0]])
-    table = 10 ** bilinear_lm.train(pairs, steps=400)
-    assert np.allclose(table.sum(1), 1)
-    assert table[0, 1] > 0.7 and table[1, 0] > 0.6
+    seen = {}
+    train = bilinear_lm.train
+
+    def keep(training, model, classes, words):
+        seen.update(words=words, classes=classes, model=train(training, model, classes, words))
+        return seen["model"]
+
+    monkeypatch.setattr(bilinear_lm, "train", keep)
+    monkeypatch.setattr(bilinear_lm, "WORDS", 100)  # the vocabulary is small: let tokens be in buckets,
+    monkeypatch.setattr(bilinear_lm, "COMMON", 150)  # and some of them unknown to tasks
+    found = by_id(bilinear_lm.score(docs))
+    every = [*enumerate(TEXTS), (None, "no id here at all")]
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(TEXTS))}
+    counts = Counter(w for i, t in every if not held.get(i) for w in [*tokens(t), b"\n"])
+    words, model = seen["words"], {k: np.asarray(v, np.float64) for k, v in seen["model"].items()}
+    number = {w: i for w, i in seen["classes"].items() if i < words}
+    assert len(number) == 100 and len(counts) > 200 and len(seen["classes"]) < len(counts)
+    class_of = lambda w: number.get(w, words + zlib.crc32(w) % bilinear_lm.BUCKETS)
+    assert all(class_of(w) == i for w, i in seen["classes"].items())
+    rest = {w: n for w, n in counts.items() if w not in number}
+    times = Counter(rest.values())
+    discount = min(max(times[1] / (times[1] + 2 * times[2]), 0.1), 0.9)
+    free = discount * len(rest) / sum(rest.values())
+    sums = Counter()
+    for w, n in rest.items():
+        sums[class_of(w)] += n - discount
+
+    def shares(before: list[int]) -> tuple[np.ndarray, float]:
+        h = sum(model["before"][c] * model["position"][j] for j, c in enumerate(before))
+        own = np.exp(model["word"][:, :-1] @ h + model["word"][:, -1])
+        own /= np.bincount(model["group"].astype(int), own)[model["group"].astype(int)]
+        of_group = np.exp(model["groups"][:, :-1] @ h + model["groups"][:, -1])
+        of_group /= of_group.sum()
+        return own * of_group[model["group"].astype(int)], of_group[-1]
+
+    def probability(w: bytes, own: np.ndarray, others: float) -> float:
+        if w in number:
+            return own[number[w]]
+        c = class_of(w)
+        return own[c] * (1 - free) * (rest[w] - discount) / sums[c] if w in rest else others * free
+
+    end = number[b"\n"]
+    for i, t in [e for e in every if len(e[1] or "") < 2000]:
+        said = [*tokens(t), b"\n"]
+        ids = [end] * 3 + [class_of(w) for w in said]
+        total = sum(np.log10(probability(w, *shares(ids[k : k + 3][::-1]))) for k, w in enumerate(said))
+        assert abs(found[i]["score"] - total) < 1e-4 * abs(total) + 1e-4, i
+    own, others = shares([end, 3, words + 5])
+    assert abs(sum(probability(w, own, others) for w in [*counts, b"never seen"]) - 1) < 1e-6
+
+
+def test_noise_contrastive_model_learns_from_the_tokens_before(spark):
+    """The third word back decides the next: neither the token before nor frequencies tell."""
+    r = random.Random(5)
+    texts = []
+    for _ in range(3000):
+        said = []
+        for _ in range(10):
+            k = r.randrange(4)
+            said += [f"cue{k}", "and", "so", f"end{k}"]
+        texts.append(" ".join(said))
+    frame = spark.createDataFrame([(i, t, None, None, 1, 0.0, "") for i, t in enumerate(texts)], SCHEMA).coalesce(1)
+    rows = [x for x in bilinear_lm.score(frame).collect() if x["held_out"]]
+    a_text = sum(x["score"] for x in rows) / len(rows)
+    # 10 free choices of four and 30 words that follow from others: 6.0 in all at best, 12.0 without contexts of three.
+    assert -9 < a_text < -6
+    assert sum(x["base_score"] for x in rows) / len(rows) < -25
+
+
+def test_parameters_are_weighted_means_of_all_tasks(spark):
+    import numpy as np
+
+    frame = spark.createDataFrame([(i, "a b c a " * (i + 1), None, None, 1, 0.0, "") for i in range(6)], SCHEMA)
+    texts = frame.selectExpr("cast(text as binary) as text").repartition(3).persist()
+    counts = np.array([24.0, 12.0, 6.0, *[0.0] * bilinear_lm.BUCKETS])
+    model, classes = bilinear_lm.initial(counts), {b"a": 0, b"b": 1, b"c": 2}
+    parts = texts.mapInArrow(bilinear_lm._trained(model, classes, 3), bilinear_lm.PARTS).collect()
+    found = bilinear_lm.train(texts, model, classes, 3)
+    of_position = [x for x in parts if x["name"] == "position"]
+    assert sum(x["weight"] for x in of_position) == sum(4 * (i + 1) + 1 for i in range(6))
+    mean = sum(np.frombuffer(x["rows"]) for x in of_position) / sum(x["weight"] for x in of_position)
+    assert np.allclose(found["position"].ravel(), mean, atol=1e-6)
+    assert {k: found[k].shape for k in bilinear_lm.LEARNED} == {k: model[k].shape for k in bilinear_lm.LEARNED}
 
 
 def test_long_tokens_are_tokens_like_others(spark):
