@@ -1,9 +1,10 @@
 """Quality by nearest-neighbour voting among labelled documents in a latent-semantic space.
 
-* Terms of a text: runs of three character kinds (letters, upper case, digits, marks, ends of
-  words and lines), and word events (a word that equals one of the eight before it, a line that
+* Terms of a text: its words and pairs of neighbouring words, each hashed to one of ``WORDS``
+  numbers; runs of three character kinds (letters, upper case, digits, marks, ends of
+  words and lines); and word events (a word that equals one of the eight before it, a line that
   was there before). Term frequencies are square-rooted, weighted by inverse document frequency
-  and set to unit length.
+  (words and pairs by ``WORD_WEIGHT`` too) and set to unit length.
 * Fit: at most ``SAMPLE`` labelled rows of each label (those with the least hash of the id, so
   reruns agree) give the term weights, a truncated singular value decomposition of ``RANK``
   dimensions, and the labelled vectors. That bound is the only sampling; it fixes the size of
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,14 @@ SHARPNESS = 8
 THRESHOLD = 0.7
 BACK = 8
 KINDS = 13
+RUNS = KINDS**3
+WORDS = 1024
+WORD_WEIGHT = 0.5  # against the other terms; least loss in four folds of training rows of a small table
 EVENTS = BACK + 3
-TERMS = KINDS**3 + EVENTS
+TERMS = RUNS + 2 * WORDS + EVENTS  # in this order; words before pairs
+SPARE = 16  # directions beyond RANK while the basis is sought
+ROUNDS = 8
+PRIME = 1_000_003
 BLOCK = 512
 
 # Character kinds of bytes: 0 blank, 1 line end, 2 vowel, 3 consonant, 4 other letter bytes,
@@ -61,14 +69,19 @@ def term_counts(texts: list[bytes | None]) -> np.ndarray:
     of = np.repeat(np.arange(len(texts)), lengths)
     same = of[:-2] == of[2:]
     counts = np.bincount(of[:-2][same] * TERMS + runs[same], minlength=len(texts) * TERMS)
-    counts = counts.reshape(len(texts), TERMS).astype(np.float32)
+    counts = counts.reshape(len(texts), TERMS).astype(np.float32)  # words and events come next
     found = [t.split() for t in framed]
     n = np.array([len(words) for words in found])
-    words = np.fromiter(map(hash, chain.from_iterable(found)), np.int64, int(n.sum()))
+    words = np.fromiter(map(crc32, chain.from_iterable(found)), np.int64, int(n.sum()))
     text_of = np.repeat(np.arange(len(texts)), n)
+    beside = text_of[1:] == text_of[:-1]
+    pairs = ((words[:-1] * 31 + words[1:]) % PRIME % WORDS)[beside]
+    for first, of_term, terms in ((RUNS, text_of, words % WORDS), (RUNS + WORDS, text_of[1:][beside], pairs)):
+        number = np.bincount(of_term * WORDS + terms, minlength=len(texts) * WORDS)
+        counts[:, first : first + WORDS] = number.reshape(len(texts), WORDS)
     for back in range(1, BACK + 1):
         again = (words[back:] == words[:-back]) & (text_of[back:] == text_of[:-back])
-        counts[:, KINDS**3 + back - 1] = np.bincount(text_of[back:][again], minlength=len(texts))
+        counts[:, back - 1 - EVENTS] = np.bincount(text_of[back:][again], minlength=len(texts))
     for row, text, own in zip(counts, texts, found):
         lines = [line for line in text.split(b"\n") if line] if text else []
         row[-3] = 5 * (len(lines) - len(set(lines)))
@@ -79,10 +92,13 @@ def term_counts(texts: list[bytes | None]) -> np.ndarray:
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     rows = counts.copy()
-    runs, events = rows[:, : KINDS**3], rows[:, KINDS**3 :]
-    runs /= np.maximum(runs.sum(1, keepdims=True), 1)
+    for first, stop in ((0, RUNS), (RUNS, RUNS + WORDS), (RUNS + WORDS, TERMS - EVENTS)):
+        some = rows[:, first:stop]
+        some /= np.maximum(some.sum(1, keepdims=True), 1)
+    events = rows[:, -EVENTS:]
     events /= np.maximum(events[:, -1:], 1)
     rows = np.sqrt(rows) * idf
+    rows[:, RUNS : TERMS - EVENTS] *= WORD_WEIGHT
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
@@ -90,6 +106,15 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
+def _main_directions(rows: np.ndarray) -> np.ndarray:
+    """The first RANK right singular vectors, by repeated products with the rows."""
+    basis = np.random.default_rng(1).standard_normal((rows.shape[1], RANK + SPARE)).astype(np.float32)
+    for _ in range(ROUNDS):
+        basis = np.linalg.qr(rows.T @ (rows @ basis))[0]
+    turn = np.linalg.svd(rows @ basis, full_matrices=False)[2][:RANK]
+    return np.ascontiguousarray(basis @ turn.T)
+
+
 Model = dict[str, np.ndarray]  # plain arrays, so that executors need no class of ours
 
 
@@ -98,8 +123,7 @@ def learn(counts: np.ndarray, labels: np.ndarray, shares: tuple[float, float]) -
     seen = (counts > 0).sum(0)
     idf = (np.log((1 + len(counts)) / (1 + seen)) + 0.1).astype(np.float32)
     rows = _weighted(counts, idf)
-    basis = np.linalg.eigh((rows.T @ rows).astype(np.float64))[1][:, : -RANK - 1 : -1]
-    basis = np.ascontiguousarray(basis.astype(np.float32))
+    basis = _main_directions(rows)
     weight = np.array(shares, np.float32) / np.maximum(np.bincount(labels, minlength=2), 1)
     return {
         "idf": idf,

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -83,6 +84,56 @@ def test_quality_vote_learns_from_what_is_not_held_out(spark, docs, no_docs):
     assert {r["score"] for r in quality_vote.score(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_words_alone_can_tell_labels_apart(spark):
+    r = random.Random(5)
+    ours, theirs = ["kato", "melu", "sori", "pane", "dilo"], ["luka", "rite", "noma", "vedo", "gasi"]  # alike in kinds
+    rows = [(i, " ".join(r.choice(theirs if i % 2 else ours) for _ in range(40)), None, None, 1, 0.0, "") for i in range(120)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)], "doc_id long, quality int")
+    found = by_id(quality_vote.score(spark.createDataFrame(rows, SCHEMA), labels))
+    assert all(found[i]["predicted"] == 1 - i % 2 for i in range(120))
+
+
+def test_terms_are_those_of_plain_counting():
+    texts = [(t or "").encode() for t in TEXTS[:30]]
+    counts = quality_vote.term_counts([t or None for t in texts])
+    first, stop = quality_vote.RUNS, quality_vote.RUNS + quality_vote.WORDS
+    for row, text in zip(counts, texts):
+        words = [zlib.crc32(w) for w in text.split()]
+        single = Counter(w % quality_vote.WORDS for w in words)
+        double = Counter((a * 31 + b) % quality_vote.PRIME % quality_vote.WORDS for a, b in zip(words, words[1:]))
+        assert dict(single) == {i: row[first + i] for i in range(quality_vote.WORDS) if row[first + i]}
+        assert dict(double) == {i: row[stop + i] for i in range(quality_vote.WORDS) if row[stop + i]}
+        lines = [line for line in text.split(b"\n") if line]
+        assert row[-3:].tolist() == [5 * (len(lines) - len(set(lines))), len(words) - len(set(words)), len(words)]
+        backs = [sum(a == b for a, b in zip(words, words[k:])) for k in range(1, quality_vote.BACK + 1)]
+        assert row[-quality_vote.EVENTS : -3].tolist() == backs
+
+
+def test_votes_are_those_of_plain_loops(monkeypatch):
+    monkeypatch.setattr(quality_vote, "NEIGHBOURS", 7)
+    counts = quality_vote.term_counts([(t or "").encode() for t in TEXTS])
+    labels = np.array([i % 3 == 0 for i in range(len(TEXTS))], int)
+    shares = (0.8, 0.2)
+    model = quality_vote.learn(counts, labels, shares)
+    weighted = quality_vote._weighted(counts, model["idf"]).astype(np.float64)
+    points = weighted @ model["basis"]
+    # The basis is that of the singular value decomposition: no other keeps more of the rows.
+    kept = (np.linalg.svd(weighted, compute_uv=False)[: points.shape[1]] ** 2).sum()
+    assert (points**2).sum() == pytest.approx(kept, rel=1e-4)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    number = Counter(labels.tolist())
+    for i, given in enumerate(quality_vote.vote(model, counts)):
+        cosines = sorted(((float(points[i] @ points[j]), j) for j in range(len(TEXTS))), reverse=True)
+        last = cosines[6][0]
+        if cosines[7][0] > last - 1e-5:
+            continue  # equal neighbours: either may vote
+        votes = {0: 0.0, 1: 0.0}
+        for cosine, j in cosines[:7]:
+            label = int(labels[j])
+            votes[label] += max(cosine, 1e-6) ** quality_vote.SHARPNESS * shares[label] / number[label]
+        assert given == pytest.approx(votes[1] / (votes[0] + votes[1]), abs=1e-3), i
+
+
 # --- 2 ---
 
 
