@@ -12,7 +12,7 @@ from . import (
     bilinear_lm, bit_codes, cover_tree, decontaminate, host_rules, language, mix, path_join, prefix_trie, previous_factor,
     quality_vote, token_cache, url_markov,
 )
-from .common import documents, shared_folder
+from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -74,11 +74,7 @@ def op9_previous_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_cache.count_tokens(
-        documents(spark, sf_dir),
-        public_tokenizers.path(TOKENIZER),
-        f"{shared_folder(spark)}/token-cache",
-    )
+    counted = token_cache.count_tokens(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 

@@ -3,10 +3,16 @@
 A text's count is stored under the digest of its content and the digest of the tokenizer
 (file and library version). Content is normalised only where no token can change: NULL and
 empty are one. Digests of all rows are joined with the stored counts; each missing digest is
-encoded once, whatever its number of copies, and appended to the cache.
+encoded once, whatever its number of copies, and appended to the cache. The folder given, or
+the one that the setting ``CACHE_SETTING`` names, lasts over runs; without either it is new.
 
 To find one text for each missing digest the texts travel compressed. Partial aggregation keeps
-one copy a task, so a text that a third of all rows repeat is not a hot key.
+one copy a task, so a text that a third of all rows repeat is not a hot key there. Nor is it where
+rows meet their counts: digests that at least one row in ``COMMON`` has, ``COMMON`` of them at
+most, get theirs from a broadcast table, and their rows join by a key of their own id.
+
+``docs`` is read twice, for digests and for texts, and has to give the same rows both times: a row
+that is there the first time only (a ``limit`` without an order) gets no count and no result.
 
 Defined results: NULL text is empty text and has 0 tokens; repeated rows get the same count; an
 empty table gives an empty result.
@@ -27,9 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import shared_folder, text_or_empty
+from .common import settle, shared_folder, text_or_empty
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
+CACHE_SETTING = "spark.kerbstone.tokenCache"
+COMMON = 1000
 BATCH = 2_000_000  # bytes of text that are encoded at once
 
 
@@ -178,14 +186,33 @@ def _stored(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
     )
 
 
+def _with_counts(digests: DataFrame, stored: DataFrame) -> DataFrame:
+    """The rows with their counts; no task gets all rows of a common digest."""
+    number = digests.groupBy("digest").agg(F.count("*").alias("n"))
+    total = digests.count()
+    common = (
+        settle(number.where(F.col("n") * COMMON >= total).select("digest"))
+        .join(stored, "digest")
+        .withColumnsRenamed({"digest": "common", "n_tokens": "n_common"})
+    )
+    marked = digests.join(F.broadcast(common), F.col("digest") == F.col("common"), "left")  # COMMON rows at most
+    # A key no stored digest has: those are of 32 bytes.
+    spread = F.unhex(F.hex(F.xxhash64(F.col("doc_id").cast("string"))))
+    rest = marked.withColumn("digest", F.when(F.col("common").isNull(), F.col("digest")).otherwise(spread))
+    counted = rest.join(stored, "digest", "left").withColumn("n_tokens", F.coalesce("n_common", "n_tokens"))
+    return counted.where("n_tokens is not null")  # as an inner join: every digest read is stored
+
+
 def count_tokens(docs: DataFrame, path: str, cache: str | None = None) -> DataFrame:
     """doc_id, n_bytes, n_tokens: a row for each row of ``docs``. ``cache``: a folder that grows."""
     spark = docs.sparkSession
-    cache = cache or f"{shared_folder(spark)}/cache"
+    cache = cache or spark.conf.get(CACHE_SETTING, None) or f"{shared_folder(spark)}/cache"
     tokenizer = tokenizer_digest(path)
     content = text_or_empty().cast("binary")
     digest = F.unhex(F.sha2(content, 256))
-    digests = docs.select("doc_id", F.octet_length(content).cast("long").alias("n_bytes"), digest.alias("digest"))
+    digests = settle(
+        docs.select("doc_id", F.octet_length(content).cast("long").alias("n_bytes"), digest.alias("digest"))
+    )
     texts = docs.select(digest.alias("digest"), content.alias("text"))
     # One packed text for each digest; those that are stored go before they are encoded.
     missing = (
@@ -195,6 +222,6 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None) -> DataFr
         .join(_stored(spark, cache, tokenizer).select("digest"), "digest", "left_anti")
     )
     missing.mapInArrow(_encoded(path, tokenizer), CACHE_SCHEMA).write.mode("append").parquet(cache)
-    return digests.join(_stored(spark, cache, tokenizer), "digest").select(
+    return _with_counts(digests, _stored(spark, cache, tokenizer)).select(
         "doc_id", "n_bytes", "n_tokens"
     )

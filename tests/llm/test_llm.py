@@ -653,6 +653,31 @@ def test_token_counts_are_the_librarys_and_are_encoded_once(spark, docs, no_docs
 
 
 LIBRARY = Tokenizer.from_file(TOKENIZER)
+def test_cache_of_the_setting_lasts_and_common_texts_get_their_counts(spark, docs, tmp_path, monkeypatch):
+    extra = spark.createDataFrame([(i % 300 + 1000 if i % 4 else None, "hot hot text") for i in range(400)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").unionByName(extra)
+    plain = {(i, t or "") for i, t in rows.collect()}
+    library = Tokenizer.from_file(TOKENIZER)
+    expected = sorted((str(r["doc_id"]), len(library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in rows.collect())
+    assert len(plain) > len(TEXTS)
+    spark.conf.set(token_cache.CACHE_SETTING, f"{tmp_path}/lasting")
+    try:
+        for common in (1000, 3, 1):  # all, some, few digests are common
+            monkeypatch.setattr(token_cache, "COMMON", common)
+            found = token_cache.count_tokens(rows, TOKENIZER).collect()
+            assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in found) == expected
+            n_stored = spark.read.parquet(f"{tmp_path}/lasting").count()
+            assert n_stored == len({t for _, t in plain})
+        # What is stored is used: a count changed there comes back.
+        digest = hashlib.sha256(b"hot hot text").digest()
+        key = token_cache.tokenizer_digest(TOKENIZER)
+        spark.createDataFrame([(digest, 99, key)], token_cache.CACHE_SCHEMA).write.mode("append").parquet(f"{tmp_path}/lasting")
+        found = token_cache.count_tokens(rows, TOKENIZER).where("doc_id >= 1000").collect()
+        assert {r["n_tokens"] for r in found} == {99}
+    finally:
+        spark.conf.unset(token_cache.CACHE_SETTING)
+
+
 COUNT = token_cache._counter(TOKENIZER)
 
 
