@@ -412,6 +412,104 @@ def test_language_from_text_page_and_host(spark, no_docs):
     assert language.identify(no_docs, pages.limit(0)).count() == 0
 
 
+def plain_runs(text: str | None) -> list[int]:
+    framed = b" " + text.encode().lower() + b" " if text else b""
+    letter = lambda b: chr(b).isascii() and chr(b).isalpha() or b >= 128
+    plain = lambda b: letter(b) or b in b" \t\n\r\v\f"
+    return [
+        ((a << 16 | b << 8 | c) * 0x9E3779B1 & 0xFFFFFFFF) >> 17
+        for a, b, c in zip(framed, framed[1:], framed[2:])
+        if plain(a) and plain(b) and plain(c) and (letter(a) or letter(b))
+    ]
+
+
+def plain_posteriors(rows: list[tuple], pages: dict[int, tuple]) -> list[tuple]:
+    """(language, posterior) of each row (id, text, lang, source), by loops over everything."""
+    from math import exp, log
+
+    known, names = language.LANGUAGES, language.HYPOTHESES
+    counts = {h: Counter(x for r in rows if r[2] == h for x in plain_runs(r[1])) for h in known}
+    taught = {h: any(counts[h].values()) for h in known}
+
+    def log_p(h, run):
+        if h == "und":
+            return -log(language.RUNS)
+        if not taught[h]:
+            return language.UNTAUGHT
+        return log((counts[h][run] + 0.5) / (sum(counts[h].values()) + language.RUNS / 2))
+
+    seen = []
+    for i, text, _, source in rows:
+        runs = plain_runs(text)
+        scale = min(len(runs), language.EVIDENCE) / max(len(runs), 1)
+        texts = {h: scale * sum(log_p(h, x) for x in runs) for h in names}
+        host, suffix, section, markup = pages.get(i, (f"source:{source or ''}", "", "", ""))
+        best = max(names, key=lambda h: texts[h])
+        seen.append({"texts": texts, "best": best, "host": host, "suffix": suffix, "section": section, "markup": markup,
+                     "parent": host.partition(".")[2]})
+    of = lambda h, **given: sum(r["best"] == h and all(r[k] == v for k, v in given.items()) for r in seen)
+    total = {h: of(h) for h in known}
+    whole = {h: (total[h] + 1) / (sum(total.values()) + len(known)) for h in known}
+
+    def shrunk(h, towards, **given):
+        return (of(h, **given) + language.STRENGTH * towards) / (sum(of(x, **given) for x in known) + language.STRENGTH)
+
+    found = []
+    for r in seen:
+        every = {}
+        for h in known:
+            prior = shrunk(h, shrunk(h, whole[h], parent=r["parent"]), host=r["host"])
+            every[h] = r["texts"][h] + log((1 - language.UND) * prior)
+        every["und"] = r["texts"]["und"] + log(language.UND)
+        for part in ("suffix", "section", "markup"):
+            if r[part]:
+                given = {h: log((of(h, **{part: r[part]}) + 0.5) / (total[h] + 1)) for h in known}
+                for h in known:
+                    every[h] += given[h]
+                every["und"] += sum(given.values()) / len(known)
+        best = max(names, key=lambda h: every[h])
+        found.append((best, 1 / sum(exp(x - every[best]) for x in every.values())))
+    return found
+
+
+def test_posteriors_are_those_of_plain_loops(spark):
+    r = random.Random(8)
+    words = {"en": "the and of water stone", "de": "der und von wasser stein", "fr": "le et de eau pierre", "es": "el y de agua piedra"}
+    rows, addresses, pages = [], [], {}
+    for i in range(60):
+        lang = sorted(words)[i % 4]
+        own = words[lang].split() if r.random() < 0.8 else words[r.choice(sorted(words))].split()
+        text = " ".join(r.choice(own) for _ in range(r.randint(1, 12 if i % 10 else 400)))
+        rows.append((i, text, lang if r.random() < 0.7 else None, r.choice(["s", "t", None])))
+        if i % 3:
+            host, section = f"{'ab'[i % 2]}.site{i % 3}.{r.choice([lang, 'com'])}", r.choice([lang, ""])
+            markup = r.choice([lang, "", "it"])
+            pages[i] = (host, host.rpartition(".")[2], section, markup)
+            addresses.append((i, f"http://{host}/{section + '/' if section else ''}{i}", f'<html lang="{markup}">' if markup else ""))
+    rows += [(100, "zzq xxw", None, "s"), (101, "", "en", "s"), (102, None, None, None)]
+    frame = spark.createDataFrame([(i, t, g, s, 1, 0.0, "") for i, t, g, s in rows], SCHEMA).repartition(3)
+    found = by_id(language.identify(frame, spark.createDataFrame(addresses, "page_id long, url string, html string")))
+    for (i, text, *_), (best, posterior) in zip(rows, plain_posteriors(rows, pages)):
+        assert found[i]["posterior"] == pytest.approx(posterior, abs=1e-4), i
+        if posterior > 0.51:
+            assert found[i]["language"] == best, i
+        assert found[i]["kept"] == (bool(text) and found[i]["language"] != "und" and found[i]["posterior"] >= 0.5), i
+
+
+def test_languages_of_rows_whose_labels_are_hidden(spark):
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.01"
+    given = spark.read.parquet(f"{sf}/documents.parquet")
+    hidden = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    frame = given.withColumn("lang", F.when(~hidden, F.col("lang")))
+    found = language.identify(frame, spark.read.parquet(f"{sf}/pages.parquet")).select("doc_id", "language", "kept")
+    judged = found.join(given.where(hidden).where(F.col("lang").isin(*language.LANGUAGES)).select("doc_id", "lang"), "doc_id")
+    right, n = judged.agg(F.avg((F.col("language") == F.col("lang")).cast("int")), F.count("*")).first()
+    print(f"held out: {right:.4f} of {n}")
+    assert n > 100 and right >= 0.95
+
+
 # --- 6 ---
 
 
