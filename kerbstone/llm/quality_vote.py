@@ -26,6 +26,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,11 +146,12 @@ def vote(model: Model, counts: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         at = 0
         labels = batch.column("label")
         for texts in chunks(batch.column("text").to_pylist()):
-            rows = [r.tobytes() for r in term_counts(texts).astype(np.float32)]
+            rows = [pack(r.tobytes()) for r in term_counts(texts)]  # mostly zeros
             yield pa.RecordBatch.from_arrays(
                 [labels.slice(at, len(rows)), pa.array(rows, pa.binary())], names=["label", "counts"]
             )
@@ -180,9 +182,12 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = MODULUS) -> Model | f
     values = found.column("label").to_numpy()
     if len(set(values.tolist())) < 2:
         return share
-    counts = np.frombuffer(b"".join(found.column("counts").to_pylist()), np.float32).reshape(-1, TERMS)
-    order = np.lexsort((*counts[:, -3:].T, *counts[:, :9].T, values))  # whatever came first
-    return learn(counts[order], values[order], (1 - share, share))
+    rows = sorted(zip(values.tolist(), found.column("counts").to_pylist()))  # whatever came first
+    unpack = zstandard.ZstdDecompressor().decompress
+    counts = np.empty((len(rows), TERMS), np.float32)
+    for row, (_, packed) in zip(counts, rows):
+        row[:] = np.frombuffer(unpack(packed), np.float32)
+    return learn(counts, np.array([label for label, _ in rows]), (1 - share, share))
 
 
 def score(docs: DataFrame, labels: DataFrame, modulus: int = MODULUS) -> DataFrame:
