@@ -12,10 +12,11 @@ has its share of the bucket besides, by absolute discounting; what is discounted
 tokens, which are one outcome however they hash.
 
 * Counts: Spark counts every training token. Biases begin at, and noise comes from, these counts.
-* Training: every task goes over its training texts in batches of ``BATCH`` tokens and tells them
-  from ``NOISE`` classes and groups drawn anew for each batch (steps by Adagrad). A task of at most
-  ``HELD`` tokens goes over them ``EPOCHS`` times. The mean of all tasks' parameters, weighted by
-  tokens, is the model: it is summed up by Spark, part by part, in streams of constant memory.
+* Training: every task goes over its training texts once, in batches of ``BATCH`` tokens, and tells
+  them from ``NOISE`` classes and groups drawn anew for each batch (steps by Adagrad, which move only
+  the rows a batch concerns). How a token is learned does not depend on how many there are. The mean
+  of all tasks' parameters, weighted by tokens, is the model: it is summed up by Spark, part by part,
+  in streams of constant memory.
 * Scoring: products of a block of contexts with the groups, and of each group's contexts with its
   classes, give all scores that the normalised log-probabilities need.
 
@@ -38,7 +39,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 from zlib import crc32
 
 import numpy as np
@@ -57,11 +58,8 @@ BUCKETS = 128
 POSITIONS = 3
 VECTOR = 16
 NOISE = 16
-BATCH = 4096
-BATCH_AGAIN = 1024
-EPOCHS = 6
-HELD = 500_000  # training tokens a task goes over more than once
-RATE = 0.05
+BATCH = 1024
+RATE = 0.1
 PART = 256  # rows of a parameter that are summed up together
 SPREAD = 16  # tasks that sum up a part first
 COMMON = 100_000
@@ -69,7 +67,8 @@ BANDS = 16  # of frequency, to each doubling
 LONGEST = 64
 MODULUS = 7
 CHUNK = 1_000_000  # bytes of text; their tokens are Python objects, some ten times as large
-BLOCK = 16_384  # tokens scored at once
+BLOCK = 32_768  # tokens scored at once
+SMALL = 2048  # of which so many are held against all groups at once
 FLUSH = 200_000  # distinct words a task holds before it gives out its counts
 NEVER = -1e4  # score of a bucket that no training token is in
 
@@ -106,7 +105,7 @@ def bucket(token: bytes) -> int:
 
 def class_ids(flat: list[bytes], classes: dict[bytes, int], words: int) -> np.ndarray:
     """Classes of tokens; ``classes`` may leave out tokens of buckets, which follow the ``words``."""
-    ids = np.fromiter((classes.get(t, -1) for t in flat), np.int64, len(flat))
+    ids = np.fromiter(map(classes.get, flat, repeat(-1)), np.int64, len(flat))
     others = np.flatnonzero(ids < 0)
     ids[others] = [words + crc32(flat[i]) % BUCKETS for i in others.tolist()]
     return ids.astype(np.int16)  # short numbers sort by radix
@@ -155,7 +154,7 @@ def _hidden(model: Model, context: np.ndarray) -> np.ndarray:
     h = np.ones((len(context), VECTOR + 1), np.float32)
     h[:, :VECTOR] = 0
     for j, weights in enumerate(model["position"]):
-        h[:, :VECTOR] += (model["before"] * weights).take(context[:, j], 0)
+        h[:, :VECTOR] += model["before"].take(context[:, j], 0) * weights
     return h
 
 
@@ -173,57 +172,56 @@ class Trainer:
         self.reach = np.cumsum(model["share"])
         self.expected = np.log(NOISE * model["share"]).astype(np.float32)
         self.expected_group = np.log(NOISE * model["group_share"]).astype(np.float32)
+        self.group_chances = model["group_share"] / model["group_share"].sum()
 
-    def go_over(self, ids: np.ndarray, context: np.ndarray, batch: int = BATCH) -> None:
+    def go_over(self, ids: np.ndarray, context: np.ndarray) -> None:
         order = self.random.permutation(len(ids))
-        for at in range(0, len(order), batch):
-            some = order[at : at + batch]
+        for at in range(0, len(order), BATCH):
+            some = order[at : at + BATCH]
             self.step(ids[some], context[some])
 
     def step(self, ids: np.ndarray, context: np.ndarray) -> None:
         position = self.model["position"]
-        h = _hidden(self.model, context)
+        near = self.model["before"].take(context.T, 0)  # position, token, component
+        h = np.ones((len(ids), VECTOR + 1), np.float32)
+        h[:, :VECTOR] = np.einsum("jik,jk->ik", near, position)
         slope = (self._words(h, ids) + self._groups(h, self.model["group"][ids]))[:, :VECTOR]
-        of_weights = [
-            np.einsum("ij,ij->j", slope, self.model["before"][context[:, j]]) for j in range(POSITIONS)
-        ]
-        every = np.concatenate([slope * weights for weights in position])
-        self._move_rows("before", context.T.ravel(), every)
-        self._move("position", np.array(of_weights))
+        of_weights = np.einsum("ik,jik->jk", slope, near)
+        self._move_rows("before", context.T.ravel(), (slope * position[:, None]).reshape(-1, VECTOR))
+        self._move("position", slice(None), of_weights)
 
     def _words(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Moves the classes' rows; gives the loss's slope by the contexts."""
         rows = self.model["word"]
         drawn = np.searchsorted(self.reach, self.random.random(NOISE) * self.reach[-1])
         noise = np.minimum(drawn, len(rows) - 1).astype(ids.dtype)
-        own, other = rows[ids], rows[noise]
-        miss = _sigmoid(np.einsum("ij,ij->i", h, own) - self.expected[ids])[:, None] - 1
-        hit = _sigmoid(h @ other.T - self.expected[noise])
+        own, other = rows.take(ids, 0), rows.take(noise, 0)
+        miss = _sigmoid(np.einsum("ij,ij->i", h, own) - self.expected.take(ids))[:, None] - 1
+        hit = _sigmoid(h @ other.T - self.expected.take(noise))
         self._move_rows("word", np.concatenate([ids, noise]), np.concatenate([miss * h, hit.T @ h]))
         return miss * own + hit @ other
 
     def _groups(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The same for groups: they are few, so noise is a number of draws for each."""
-        rows, shares = self.model["groups"], self.model["group_share"]
-        drawn = self.random.multinomial(NOISE, shares / shares.sum()).astype(np.float32)
-        from_data = _sigmoid(h @ rows.T - self.expected_group)
-        slopes = from_data * drawn
-        at = np.arange(len(ids)), ids
-        slopes[at] += from_data[at] - 1
-        slope = slopes @ rows
-        self._move("groups", slopes.T @ h)
-        return slope
+        rows, shares = self.model["groups"], self.group_chances
+        times = self.random.multinomial(NOISE, shares)
+        noise = np.flatnonzero(times)
+        own, other = rows.take(ids, 0), rows.take(noise, 0)
+        miss = _sigmoid(np.einsum("ij,ij->i", h, own) - self.expected_group.take(ids))[:, None] - 1
+        hit = _sigmoid(h @ other.T - self.expected_group.take(noise)) * times[noise].astype(np.float32)
+        self._move_rows("groups", np.concatenate([ids, noise]).astype(np.int16), np.concatenate([miss * h, hit.T @ h]))
+        return miss * own + hit @ other
 
     def _move_rows(self, name: str, ids: np.ndarray, slopes: np.ndarray) -> None:
-        size, width = self.model[name].shape
-        places = ids.astype(np.int64)[:, None] * width + np.arange(width)
-        total = np.bincount(places.ravel(), slopes.ravel(), size * width)
-        self._move(name, total.reshape(size, width).astype(np.float32))
+        order = np.argsort(ids, kind="stable")
+        found = ids.take(order)
+        first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        self._move(name, found.take(first), np.add.reduceat(slopes.take(order, 0), first))
 
-    def _move(self, name: str, slope: np.ndarray) -> None:
-        squares = self.squares[name]
-        squares += slope * slope
-        self.model[name] -= RATE * slope / np.sqrt(squares)
+    def _move(self, name: str, rows: np.ndarray | slice, slope: np.ndarray) -> None:
+        squares = self.squares[name][rows] + slope * slope
+        self.squares[name][rows] = squares
+        self.model[name][rows] -= RATE * slope / np.sqrt(squares)
 
 
 def _trained(model: Model, classes: dict[bytes, int], words: int):
@@ -233,20 +231,14 @@ def _trained(model: Model, classes: dict[bytes, int], words: int):
         task = TaskContext.get().partitionId()
         trainer = Trainer(model, task)
         end = classes.get(END, 0)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
         n = 0
         for batch in batches:
             for texts in text_chunks(batch.column("text"), CHUNK):
                 tokens = _tokens(texts)
                 lengths = np.array([len(t) for t in tokens])
                 ids = class_ids(list(chain.from_iterable(tokens)), classes, words)
-                given = ids, contexts(ids, np.cumsum(lengths) - lengths, end)
-                trainer.go_over(*given)
+                trainer.go_over(ids, contexts(ids, np.cumsum(lengths) - lengths, end))
                 n += len(ids)
-                held = [*held, given] if n <= HELD else []
-        for _ in range(EPOCHS - 1 if held else 0):
-            for given in held:
-                trainer.go_over(*given, BATCH_AGAIN)
         if n:
             for name in LEARNED:
                 rows = trainer.model[name].astype(np.float64) * n
@@ -298,23 +290,30 @@ def log_probabilities(model: Model, ids: np.ndarray, context: np.ndarray) -> tup
     for at in range(0, len(ids), BLOCK):
         some = slice(at, at + BLOCK)
         own = ids[some]
-        group = model["group"][own]
+        group = model["group"].take(own)
         h = _hidden(model, context[some])
-        of_group[some] = _picked(h @ model["groups"].T, group)
-        order = np.argsort(group, kind="stable")
+        of_group[some] = np.concatenate(
+            [_picked(h[i : i + SMALL] @ model["groups"].T, group[i : i + SMALL]) for i in range(0, len(own), SMALL)]
+        )
+        order = np.argsort(group.astype(np.int16), kind="stable")  # short numbers sort by radix
+        h, group, own = h.take(order, 0), group.take(order), own.take(order)
+        edges = np.flatnonzero(np.diff(group, prepend=-1, append=len(bounds))).tolist()
         within = np.empty(len(own))
-        for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
-            first, last = bounds[group[rows[0]]], bounds[group[rows[0]] + 1]
-            within[rows] = _picked(h[rows] @ model["word"][first:last].T, own[rows] - first)
-        of_class[some] = within
+        for start, stop in zip(edges, edges[1:]):
+            first, last = bounds[group[start]], bounds[group[start] + 1]
+            within[start:stop] = _picked(h[start:stop] @ model["word"][first:last].T, own[start:stop] - first)
+        of_class[at + order] = within
     return of_group, of_class
 
 
 def _picked(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log10 of the softmax of each row, at its place."""
-    scores -= scores.max(1, keepdims=True)
-    own = scores[np.arange(len(at)), at].astype(np.float64)
-    return (own - np.log(np.exp(scores, out=scores).sum(1))) / np.log(10)
+    """log10 of the softmax of each row, at its place: the others are held against that score."""
+    scores -= scores[np.arange(len(at)), at][:, None]
+    top = 0.0
+    if scores.max() > 80:  # beyond it single precision may overflow
+        top = scores.max(1)
+        scores -= top[:, None]
+    return -(np.log(np.exp(scores, out=scores).sum(1), dtype=np.float64) + top) / np.log(10)
 
 
 def _scored(model: Model, words: int, common: dict[bytes, tuple[int, int]], base: float, share):
@@ -340,36 +339,34 @@ def _scored(model: Model, words: int, common: dict[bytes, tuple[int, int]], base
                 lengths = np.array([len(t) for t in tokens])
                 starts = np.cumsum(lengths) - lengths
                 flat = list(chain.from_iterable(tokens))
-                numbers = np.fromiter((number.get(t, rare) for t in flat), np.int64, len(flat))
+                numbers = np.fromiter(map(number.get, flat, repeat(rare)), np.int64, len(flat))
                 places = np.flatnonzero(numbers == rare)
                 rare_flat = list(map(flat.__getitem__, places.tolist()))
                 ids = class_of[numbers]
                 ids[places] = [words + crc32(t) % BUCKETS for t in rare_flat]
                 of_group, of_class = log_probabilities(model, ids, contexts(ids, starts, max(end, 0)))
                 text_of = np.repeat(np.arange(len(texts)), lengths)
-                found: dict[tuple[int, bytes], list[float]] = {}
-                for key, value in zip(zip(text_of[places].tolist(), rare_flat), of_class[places].tolist()):
-                    sums = found.get(key)
-                    if sums is None:
-                        found[key] = [1, value]
-                    else:
-                        sums[0] += 1
-                        sums[1] += value
+                found = (
+                    pa.table([text_of[places], pa.array(rare_flat, pa.binary()), of_class[places]], ["text", "token", "model"])
+                    .group_by(["text", "token"], use_threads=False)
+                    .aggregate([("model", "count"), ("model", "sum")])
+                )
                 of_class[places] = 0.0
                 row = keys_of.slice(at, len(texts))
                 sums = [np.add.reduceat(x, starts) for x in (
                     np.ones(len(flat)), numbers != rare, values[numbers, 0], of_group + of_class + values[numbers, 1])]
-                index = pa.array([i for i, _ in found], pa.int32())
-                times, within = zip(*found.values()) if found else ((), ())
+                text, token, times, within = (
+                    found.column(c).combine_chunks() for c in ("text", "token", "model_count", "model_sum")
+                )
+                none = np.zeros(len(found))
                 for of, keys, n, known, b, m in (
-                    (row, [None] * len(texts), sums[0], sums[1], sums[2], sums[3]),
-                    (row.take(index), [w for _, w in found], times, np.zeros(len(found)), np.zeros(len(found)), within),
+                    (row, pa.nulls(len(texts), pa.binary()), sums[0], sums[1], sums[2], sums[3]),
+                    (row.take(text), token, times.to_numpy(), none, none, within.to_numpy()),
                 ):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            of.column("row"), of.column("doc_id"), pa.array(keys, pa.binary()),
-                            pa.array(np.asarray(n, np.int64)), pa.array(np.asarray(known, np.int64)),
-                            pa.array(np.asarray(b, np.float64)), pa.array(np.asarray(m, np.float64)),
+                            of.column("row"), of.column("doc_id"), keys,
+                            pa.array(n.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(b), pa.array(m),
                         ],
                         names=["row", "doc_id", "token", "n", "known", "base", "model"],
                     )

@@ -227,6 +227,38 @@ def test_noise_contrastive_model_learns_from_the_tokens_before(spark):
     assert sum(x["base_score"] for x in rows) / len(rows) < -25
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_a_task_learns_from_each_token_once_however_many_it_has(monkeypatch, copies):
+    import numpy as np
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    seen = []
+    step = bilinear_lm.Trainer.step
+
+    def counted(trainer, ids, context):
+        seen.append(len(ids))
+        step(trainer, ids, context)
+
+    monkeypatch.setattr(bilinear_lm.Trainer, "step", counted)
+    monkeypatch.setattr(bilinear_lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [b"a b c a " * 4000] * copies
+    model = bilinear_lm.initial(np.array([32000.0, 16000.0, 16000.0, *[0.0] * bilinear_lm.BUCKETS]) * copies)
+    rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    parts = list(bilinear_lm._trained(model, {b"a": 0, b"b": 1, b"c": 2}, 3)(iter([rows])))
+    assert sum(seen) == copies * 16001 == parts[0].column("weight")[0].as_py()
+    assert max(seen) == bilinear_lm.BATCH
+
+
+def test_log_softmax_of_far_scores():
+    import numpy as np
+
+    scores = np.array([[0, 300, 1], [5, 4, -1e4], [-200, 1, 2]], np.float32)
+    at = np.array([0, 1, 2])
+    plain = scores - np.log(np.exp(scores.astype(np.float64)).sum(1, keepdims=True))
+    assert np.allclose(bilinear_lm._picked(scores.copy(), at), plain[np.arange(3), at] / np.log(10), rtol=1e-6)
+
+
 def test_parameters_are_weighted_means_of_all_tasks(spark):
     import numpy as np
 
