@@ -27,6 +27,7 @@ from kerbstone.operators.routing import quarantine_rows, valid_rows
 from kerbstone.operators.silver import enriched, to_silver, typed, validated
 from kerbstone.sinks.catalog import register_tables
 from kerbstone.sinks.lakehouse import BATCH, BatchId, Lakehouse
+from kerbstone.session import use_jit_sized_methods
 from kerbstone.sources import streams
 from event_feed import bronze_rows, sensor_messages
 from kerbstone.streaming.bronze_job import start_bronze
@@ -367,9 +368,13 @@ def _fact(name: str) -> Query:
 
 
 def _comparable(query: Query) -> Query:
-    """Pin the time zone that results depend on, and show timestamps as UTC wall-clock times."""
+    """Pin the time zone that results depend on, and show timestamps as UTC wall-clock times.
+
+    The session runs with methods the JVM compiles from then on: rows are made when they are read.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_jit_sized_methods(spark)
         zone = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         try:

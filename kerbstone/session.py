@@ -52,4 +52,6 @@ def jit_sized_methods(spark: SparkSession) -> Iterator[None]:
 
 
 def use_jit_sized_methods(spark: SparkSession) -> None:
-    spark.conf.set(_METHOD_LIMIT_SETTING, JIT_METHOD_LIMIT)
+    """The same for all that the session runs: the limit is read when a plan runs, not when it is made."""
+    if int(spark.conf.get(_METHOD_LIMIT_SETTING)) > JIT_METHOD_LIMIT:
+        spark.conf.set(_METHOD_LIMIT_SETTING, JIT_METHOD_LIMIT)
