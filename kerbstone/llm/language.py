@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import join_whole, lower_ascii, settle, text_or_empty, with_row_key
-from .tasks import chunks
+from .tasks import text_chunks
 
 LANGUAGES = ("de", "en", "es", "fr")
 HYPOTHESES = (*LANGUAGES, "und")
@@ -69,7 +69,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         number = np.array([LANGUAGES.index(x) for x in batch.column("lang").to_pylist()], np.int64)
         at = 0
-        for texts in chunks(batch.column("text").to_pylist()):
+        for texts in text_chunks(batch.column("text")):
             runs, of, _ = _runs(texts)
             key = number[at : at + len(texts)][of] * RUNS + runs
             total += np.bincount(key, minlength=total.size).reshape(total.shape)
@@ -103,7 +103,7 @@ def _judged(model: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for texts in chunks(batch.column("text").to_pylist()):
+            for texts in text_chunks(batch.column("text")):
                 runs, of, letters = _runs(texts)
                 n = np.bincount(of, minlength=len(texts))
                 scale = np.minimum(n, EVIDENCE) / np.maximum(n, 1)

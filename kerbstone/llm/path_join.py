@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import join_whole, settle, text_or_empty
 from .graph import components
-from .tasks import WordHashes, chunks, whole_groups
+from .tasks import WordHashes, text_chunks, whole_groups
 
 SHINGLE = 5
 POSITIONS = 48
@@ -90,7 +90,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         sizes, digests, tokens = [], [], []
-        for texts in chunks(batch.column("text").to_pylist()):
+        for texts in text_chunks(batch.column("text")):
             sets = shingle_sets(texts, hashes)
             sizes += [len(s) for s in sets]
             digests += [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
@@ -124,7 +124,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         classes = batch.column("class")
         at = 0
-        for texts in chunks(batch.column("text").to_pylist()):
+        for texts in text_chunks(batch.column("text")):
             sets = [s.tobytes() for s in shingle_sets(texts, hashes)]
             yield pa.RecordBatch.from_arrays(
                 [classes.slice(at, len(sets)), pa.array(sets, pa.binary())], names=["class", "set"]

@@ -27,6 +27,7 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import join_rows, join_whole, settle, unused, with_row_key
-from .tasks import chunks, whole_groups
+from .tasks import text_chunks, whole_groups
 
 LENGTH = 100
 PIECE = 32
@@ -119,7 +120,7 @@ def anchors(texts: list[bytes]) -> dict[str, np.ndarray]:
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         row = 0
-        for texts in chunks(batch.column("text").to_pylist()):
+        for texts in text_chunks(batch.column("text")):
             found = anchors([t or b"" for t in texts])
             doc = pa.array(found["doc"] + row)
             yield pa.RecordBatch.from_arrays(
@@ -207,7 +208,7 @@ def packed(docs: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = chain.from_iterable(text_chunks(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([press(t or b"") for t in texts], pa.binary())],
                 names=["doc_id", "row_key", "packed"],

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK = 4_000_000  # bytes of text that are worked on at once
+CHUNK = 1_000_000  # bytes of text that are worked on at once: arrays over them are up to 100 times as large
 
 
 def chunks(texts: list[bytes | None], most: int = CHUNK) -> Iterator[list[bytes | None]]:
