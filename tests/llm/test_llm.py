@@ -294,6 +294,29 @@ def test_long_tokens_are_tokens_like_others(spark):
     assert len(set(kept)) == 4 and kept[3] == b"a" and max(map(len, kept)) <= 33
 
 
+# --- memory of tasks ---
+
+
+def test_tasks_work_on_a_little_text_at_once():
+    """A batch of 12 MB of text: arrays over a part of it only, and no second copy of the whole."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(7)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(1500)).encode() for _ in range(1000)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids, pa.array(texts)], names=["doc_id", "row_key", "source", "text"])
+    model = np.zeros((len(language.HYPOTHESES), language.RUNS), np.float32)
+    for work in (previous_factor._occurrences, language._judged(model)):
+        tracemalloc.start()
+        rows = sum(given.num_rows for given in work(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert rows >= len(texts) and peak < 120
+
+
 # --- 3 ---
 
 
